@@ -35,13 +35,15 @@ def best_split(train: DataFrame, features: Sequence[str], y: str) -> DataFrame:
         .groupBy("feature", "block", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"))
     )
-    totals = values.groupBy("feature").agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos")).collect()
     placed = running_totals(values, ["value"], ["n", "pos"], "block", by=["feature"])
+    whole = numbers.agg(
+        *[F.struct(F.count(c), F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col("_y"))), F.lit(0))).alias(c) for c in features]
+    ).first()
     all_n = F.lit(0)
     all_pos = F.lit(0)
-    for r in totals:  # one row per feature
-        all_n = F.when(F.col("feature") == r["feature"], F.lit(r["all_n"])).otherwise(all_n)
-        all_pos = F.when(F.col("feature") == r["feature"], F.lit(r["all_pos"])).otherwise(all_pos)
+    for c in features:
+        all_n = F.when(F.col("feature") == c, F.lit(whole[c][0])).otherwise(all_n)
+        all_pos = F.when(F.col("feature") == c, F.lit(whole[c][1])).otherwise(all_pos)
     left_n, left_pos = F.col("n_before") + F.col("n"), F.col("pos_before") + F.col("pos")
 
     def impurity(pos, n):

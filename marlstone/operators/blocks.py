@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.columns import join_on, nan_as_null, present
 
-DEFAULT_BLOCKS = 256
+FEWEST_BLOCKS, MOST_BLOCKS = 64, 8_192
 
 
-def block_edges(df: DataFrame, columns: Sequence[str], blocks: int = DEFAULT_BLOCKS) -> list[list[float]]:
+def block_edges(df: DataFrame, columns: Sequence[str], blocks: int | None = None) -> list[list[float]]:
     """Split points per column, strictly increasing and open at both ends.
 
     One pass over the raw columns with a mergeable sketch; the result has at most ``blocks``
-    numbers per column.
+    numbers per column. Unless given, there are two blocks per shuffle partition.
     """
+    if blocks is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = min(max(2 * partitions, FEWEST_BLOCKS), MOST_BLOCKS)
     numbers = df.select([nan_as_null(c).alias(c) for c in columns])
     shares = [i / blocks for i in range(1, blocks)]
     found = numbers.approxQuantile(list(columns), shares, 1 / (2 * blocks))

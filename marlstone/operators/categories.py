@@ -91,12 +91,15 @@ def hash_features(df: DataFrame, columns: Sequence[str], dims: int, out: str = "
         return F.struct(idx.cast("int").alias("idx"), F.when(odd == 1, -1.0).otherwise(1.0).alias("value"))
 
     cells = F.filter(F.array(*[cell(c) for c in columns]), lambda c: c["idx"].isNotNull())
-    places = F.array_sort(F.array_distinct(F.transform("_cells", lambda c: c["idx"])))
 
-    def summed(idx):
-        value = F.aggregate(
-            F.filter("_cells", lambda c: c["idx"] == idx), F.lit(0.0), lambda total, c: total + c["value"]
-        )
-        return F.struct(idx.alias("idx"), value.alias("value"))
+    def merged(found):
+        def summed(idx):
+            same = F.filter(found, lambda c: c["idx"] == idx)
+            total = F.aggregate(same, F.lit(0.0), lambda value, c: value + c["value"])
+            return F.struct(idx.alias("idx"), total.alias("value"))
 
-    return df.withColumn("_cells", cells).withColumn(out, F.transform(places, summed)).drop("_cells")
+        places = F.array_sort(F.array_distinct(F.transform(found, lambda c: c["idx"])))
+        return F.transform(places, summed)
+
+    # Through a one-element array the pairs are hashed once per row and not once per use.
+    return df.withColumn(out, F.transform(F.array(cells), merged)[0])

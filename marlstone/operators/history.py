@@ -1,14 +1,17 @@
 """Features from an entity's own past, never from the same instant or later.
 
 All of them work on points, one row per (key, time): rows that share both are combined first, in
-the map tasks. Time is cut into slices, and windows run per (key, slice), so that the rows of a
-busy key are spread over its slices. Only slice summaries, whose number depends on the length of
-time and not on the rows, are ever brought together per key.
+the map tasks. How many rows the busiest key has is counted before the plan is chosen. Where no key
+is too large, a plain window per key does the work with one shuffle. Otherwise time is cut into
+slices and windows run per (key, slice), so that a busy key is spread over its slices; only
+slice summaries, whose number depends on the length of time and not on the rows, are brought
+together per key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +19,11 @@ from pyspark.sql import functions as F
 from marlstone.functions.columns import from_micros, join_on, micros
 
 SECOND = 1_000_000
+DAY = 86_400 * SECOND
+# Rows of one key, or of one (key, slice), that a single window may hold.
+WINDOW_ROWS = 2_000_000
+# Rows that a sliding frame may span: Spark adds a sliding frame up anew for every row.
+FRAME_ROWS = 1_000
 
 
 def _slice(column, width):
@@ -23,45 +31,97 @@ def _slice(column, width):
     return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
 
 
+def busiest(df: DataFrame, key: str, ts: str, width: int | None = None) -> int:
+    """Rows of the busiest key, or of the busiest key within one slice of ``width`` microseconds.
+
+    Counts are combined in the map tasks and one number comes back.
+    """
+    timed = df.where(F.col(ts).isNotNull()).select(key, micros(ts).alias("t"))
+    groups = [key] if width is None else [key, _slice("t", width)]
+    return timed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _slice_width(df, key, ts, window_rows):
+    """Microseconds per slice: a day, or the part of a day that keeps the busiest slice in bounds.
+
+    The narrower width is counted again, as rows need not be spread evenly over the day.
+    """
+    width = DAY
+    while width > SECOND:
+        rows = busiest(df, key, ts, width)
+        if rows <= window_rows:
+            break
+        width = max(width // ceil(rows / max(window_rows, 1)), SECOND)
+    return width
+
+
 def rolling(
     df: DataFrame,
     key: str,
     ts: str,
     value: str,
     span_seconds: int,
-    slices: int = 24,
     prefix: str = "past",
+    frame_rows: int = FRAME_ROWS,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Count, sum, mean, minimum and maximum of the key's values in [time - span, time).
 
-    One row per (key, time). The span is ``slices`` slices long. A window is put together from three
-    disjoint pieces: the point's own slice up to the point, the whole slices before it, and the end
-    of the oldest slice. For the last piece each point also appears shifted by the span: it then
-    lies in the slice of the points that still reach it. Nothing is subtracted, so sums keep
-    their precision.
+    One row per (key, time). Spans of at most ``frame_rows`` rows are a plain sliding frame; longer ones
+    are put together from slices, of which a span has enough to keep each below ``window_rows``.
     """
     span = span_seconds * SECOND
-    if slices < 1 or span % slices:
-        raise ValueError("the span must divide evenly into the slices")
-    width = span // slices
-
     points = (
         df.where(F.col(ts).isNotNull())
         .select(F.col(key), micros(ts).alias("t"), F.col(value).cast("double").alias("v"))
         .groupBy(key, "t")
         .agg(F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
+    rows = busiest(df, key, ts, span)
+    if rows <= frame_rows:
+        frame = Window.partitionBy(key).orderBy("t").rangeBetween(-span, -1)
+        sums = points.select(
+            key,
+            "t",
+            F.coalesce(F.sum("n").over(frame), F.lit(0)).alias("n"),
+            F.coalesce(F.sum("s").over(frame), F.lit(0.0)).alias("s"),
+            F.min("lo").over(frame).alias("lo"),
+            F.max("hi").over(frame).alias("hi"),
+        )
+    else:
+        # The slices of a span must fill it exactly; powers of two times 24 divide whole seconds well.
+        slices = 24
+        while rows / slices > window_rows and span % (2 * slices) == 0:
+            slices *= 2
+        while span % slices:
+            slices -= 1
+        sums = _rolling_by_slices(points, key, span, slices)
+    return sums.select(
+        key,
+        from_micros("t").alias(ts),
+        F.col("n").alias(f"{prefix}_count"),
+        F.col("s").alias(f"{prefix}_sum"),
+        F.when(F.col("n") > 0, F.col("s") / F.col("n")).alias(f"{prefix}_mean"),
+        F.col("lo").alias(f"{prefix}_min"),
+        F.col("hi").alias(f"{prefix}_max"),
+    )
+
+
+def _rolling_by_slices(points, key, span, slices):
+    """The past of each point from three disjoint pieces, in time linear in the points.
+
+    They are the point's own slice up to the point, the whole slices before it, and the end of the oldest
+    slice. For the last piece each point also appears shifted by the span: it then lies in the slice
+    of the points that still reach it. Nothing is subtracted, so sums keep their precision.
+    """
+    width = span // slices
     point = F.struct("n", "s", "lo", "hi")
     nothing = F.lit(None).cast("struct<n:bigint,s:double,lo:double,hi:double>")
     sides = F.array(
         F.struct(F.col("t").alias("t"), point.alias("now"), nothing.alias("old")),
         F.struct((F.col("t") + F.lit(span)).alias("t"), nothing.alias("now"), point.alias("old")),
     )
-    both = (
-        points.select(key, F.explode(sides).alias("e"))
-        .select(key, "e.*")
-        .withColumn("slice", _slice("t", width))
-    )
+    both = points.select(key, F.explode(sides).alias("e")).select(key, "e.*").withColumn("slice", _slice("t", width))
 
     def measures(source, frame, name):
         return [
@@ -77,37 +137,27 @@ def rolling(
     local = both.select("*", *measures("now", head, "head"), *measures("old", tail, "tail")).where(
         F.col("now").isNotNull()
     )
-
     summary = (
         points.withColumn("slice", _slice("t", width))
         .groupBy(key, "slice")
         .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .select(key, "slice", point.alias("now"))
     )
-    # Also holds when slices == 1: the frame is then empty.
     between = Window.partitionBy(key).orderBy("slice").rangeBetween(-(slices - 1), -1)
-    whole = summary.select(
-        key,
-        "slice",
-        *[
-            (agg(name).over(between) if slices > 1 else F.lit(None).cast(kind)).alias(f"mid_{name}")
-            for name, agg, kind in (("n", F.sum, "bigint"), ("s", F.sum, "double"), ("lo", F.min, "double"), ("hi", F.max, "double"))
-        ],
-    )
+    whole = summary.select(key, "slice", *measures("now", between, "mid"))
     joined = join_on(local, whole, [key, "slice"])
 
     def total(name, zero):
-        pieces = [F.coalesce(F.col(f"{part}_{name}"), F.lit(zero)) for part in ("head", "mid", "tail")]
-        return pieces[0] + pieces[1] + pieces[2]
+        head_part, mid_part, tail_part = [F.coalesce(F.col(f"{p}_{name}"), F.lit(zero)) for p in ("head", "mid", "tail")]
+        return head_part + mid_part + tail_part
 
-    count, amount = total("n", 0), total("s", 0.0)
     return joined.select(
         key,
-        from_micros("t").alias(ts),
-        count.alias(f"{prefix}_count"),
-        amount.alias(f"{prefix}_sum"),
-        F.when(count > 0, amount / count).alias(f"{prefix}_mean"),
-        F.least("head_lo", "mid_lo", "tail_lo").alias(f"{prefix}_min"),
-        F.greatest("head_hi", "mid_hi", "tail_hi").alias(f"{prefix}_max"),
+        "t",
+        total("n", 0).alias("n"),
+        total("s", 0.0).alias("s"),
+        F.least("head_lo", "mid_lo", "tail_lo").alias("lo"),
+        F.greatest("head_hi", "mid_hi", "tail_hi").alias("hi"),
     )
 
 
@@ -118,13 +168,12 @@ def lags(
     value: str,
     steps: int = 1,
     tie: str | None = None,
-    slice_seconds: int = 86_400,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Per (key, time): the value, and for each step the earlier value, the change and the seconds since.
 
     Where a key has several rows at one time, the one with the largest ``tie`` stands for them
-    (without ``tie``, the largest value). Points deep inside a slice find their lags there; the
-    first points of a slice find them among the first and last points of all the key's slices.
+    (without ``tie``, the largest value).
     """
     if steps < 1:
         raise ValueError("steps must be at least 1")
@@ -134,25 +183,30 @@ def lags(
         .select(key, micros(ts).alias("t"), value, *([tie] if tie and tie != value else []))
         .groupBy(key, "t")
         .agg(chosen.alias("v"))
-        .withColumn("slice", _slice("t", slice_seconds * SECOND))
     )
-    inside = Window.partitionBy(key, "slice")
     point = F.struct("t", "v")
 
     def earlier(window):
         return [F.lag(point, step).over(window).alias(f"e{step}") for step in range(1, steps + 1)]
 
-    placed = points.select(
-        "*",
-        *earlier(inside.orderBy("t")),
-        F.row_number().over(inside.orderBy("t")).alias("from_start"),
-        F.row_number().over(inside.orderBy(F.desc("t"))).alias("from_end"),
-    )
-    deep = placed.where(F.col("from_start") > steps)
-    border = placed.where((F.col("from_start") <= steps) | (F.col("from_end") <= steps))
-    first = border.select(
-        *points.columns, "from_start", "from_end", *earlier(Window.partitionBy(key).orderBy("t"))
-    ).where(F.col("from_start") <= steps)
+    whole = Window.partitionBy(key).orderBy("t")
+    if busiest(df, key, ts) <= window_rows:
+        placed = points.select("*", *earlier(whole))
+    else:
+        # Points deep inside a slice find their lags there. The first points of a slice find them
+        # among the first and last points of all slices of the key, which is all that they can reach.
+        cut = points.withColumn("slice", _slice("t", _slice_width(df, key, ts, window_rows)))
+        inside = Window.partitionBy(key, "slice")
+        sliced = cut.select(
+            "*",
+            *earlier(inside.orderBy("t")),
+            F.row_number().over(inside.orderBy("t")).alias("from_start"),
+            F.row_number().over(inside.orderBy(F.desc("t"))).alias("from_end"),
+        )
+        deep = sliced.where(F.col("from_start") > steps)
+        border = sliced.where((F.col("from_start") <= steps) | (F.col("from_end") <= steps))
+        first = border.select(*cut.columns, "from_start", "from_end", *earlier(whole)).where(F.col("from_start") <= steps)
+        placed = deep.unionByName(first)
 
     columns = [key, from_micros("t").alias(ts), F.col("v").alias(value)]
     for step in range(1, steps + 1):
@@ -161,7 +215,7 @@ def lags(
             (F.col("v") - F.col(f"e{step}.v")).alias(f"{value}_change{step}"),
             ((F.col("t") - F.col(f"e{step}.t")) / SECOND).alias(f"seconds_since{step}"),
         ]
-    return deep.unionByName(first).select(*columns)
+    return placed.select(*columns)
 
 
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | None = None) -> DataFrame:
@@ -208,7 +262,7 @@ def asof(
     right_ts: str,
     payload: Sequence[str],
     tie: str | None = None,
-    slice_seconds: int = 86_400,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Each left row with the newest right row of its key strictly before the left time, else nulls.
 
@@ -229,16 +283,22 @@ def asof(
         .agg(F.max_by("fact", "tie").alias("fact"))
         .withColumn("fact", F.struct("t", "fact"))
     )
-    both = times.unionByName(facts, allowMissingColumns=True).withColumn("slice", _slice("t", slice_seconds * SECOND))
-    inside = Window.partitionBy(key, "slice").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    local = both.withColumn("near", F.last("fact", ignorenulls=True).over(inside)).where(F.col("asks"))
-
-    newest = both.groupBy(key, "slice").agg(F.max("fact.t").alias("newest_t"), F.max_by("fact", "fact.t").alias("newest"))
-    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = newest.select(key, "slice", F.last("newest", ignorenulls=True).over(before).alias("far"))
-    answers = join_on(local, carried, [key, "slice"]).select(
-        key, from_micros("t").alias("_asof_t"), F.coalesce("near", "far").alias("found")
-    )
+    both = times.unionByName(facts, allowMissingColumns=True)
+    newer = (Window.unboundedPreceding, -1)
+    nearest = F.last("fact", ignorenulls=True)
+    rows = max(busiest(left, key, left_ts), busiest(right, key, right_ts))
+    if rows <= window_rows:
+        found = both.withColumn("found", nearest.over(Window.partitionBy(key).orderBy("t").rangeBetween(*newer))).where("asks")
+    else:
+        width = min(_slice_width(left, key, left_ts, window_rows), _slice_width(right, key, right_ts, window_rows))
+        cut = both.withColumn("slice", _slice("t", width))
+        inside = Window.partitionBy(key, "slice").orderBy("t").rangeBetween(*newer)
+        local = cut.withColumn("near", nearest.over(inside)).where("asks")
+        newest = cut.groupBy(key, "slice").agg(F.max_by("fact", "fact.t").alias("fact"))
+        before = Window.partitionBy(key).orderBy("slice").rowsBetween(*newer)
+        carried = newest.select(key, "slice", nearest.over(before).alias("far"))
+        found = join_on(local, carried, [key, "slice"]).withColumn("found", F.coalesce("near", "far"))
+    answers = found.select(key, from_micros("t").alias("_asof_t"), "found")
     answers = answers.select(
         key,
         F.col("_asof_t").cast(dict(left.dtypes)[left_ts]).alias(left_ts),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import join_on, nan_as_null
-from marlstone.operators.blocks import DEFAULT_BLOCKS, add_blocks, block_edges
+from marlstone.operators.blocks import add_blocks, block_edges
 
 SMALL_ROWS = 1_000_000
 
@@ -19,7 +19,7 @@ def quantiles(
     shares: Sequence[float],
     by: Sequence[str] = (),
     small_rows: int = SMALL_ROWS,
-    blocks: int = DEFAULT_BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Rows (by, column, share, value): the linearly interpolated quantile of each column.
 

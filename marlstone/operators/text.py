@@ -25,7 +25,9 @@ def tfidf(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     (text, term) on one side; adaptive execution splits the partitions of very common terms.
     """
     counts = bag_of_words(df, key, text, n)
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Summing min(tf, 1) instead of counting rows keeps both uses of the counts alike, so that Spark
+    # splits the texts and shuffles the counts once for the two.
+    frequency = counts.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
     texts = df.select(key).distinct().count()
     weight = F.col("tf") * F.log((F.lit(texts) + 1.0) / (F.col("df") + 1.0))
     return join_on(counts, frequency, ["term"]).select(key, "term", "tf", "df", weight.alias("tfidf"))

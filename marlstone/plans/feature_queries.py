@@ -15,7 +15,7 @@ from marlstone.operators.scale import apply_bins, apply_scale, fit_bins, fit_sca
 from marlstone.operators.splits import kfold, time_split
 from marlstone.plans.registry import query
 from marlstone.plans.split_queries import NUMBER
-from marlstone.sources.tables import read_table
+from marlstone.sources.tables import read_table, spread
 
 EVENT_CUTOFF = "2024-01-21"
 
@@ -70,7 +70,7 @@ from lineitem, s
 """)
 def scale_lineitem(spark, folder):
     lines = time_split(
-        read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"]),
+        spread(read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"])),
         "l_shipdate",
         "2000-01-01",
     )
@@ -140,6 +140,6 @@ h as (
 select event_id, idx, sum(value)::double as value from h group by event_id, idx
 """)
 def hash_features_events(spark, folder):
-    events = read_table(spark, folder, "events", ["event_id", "event_type", "user_id", "props"])
+    events = spread(read_table(spark, folder, "events", ["event_id", "event_type", "user_id", "props"]))
     hashed = hash_features(events, ["event_type", "user_id", "props"], 32)
     return hashed.select("event_id", F.explode("hashed").alias("h")).select("event_id", "h.idx", "h.value")

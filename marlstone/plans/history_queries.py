@@ -1,7 +1,5 @@
 """Time features of entities."""
 
-from pyspark.sql import functions as F
-
 from marlstone.functions.columns import rounded
 from marlstone.operators.history import asof, calendar, entity_aggregate, lags, rolling, sessions
 from marlstone.plans.registry import query
@@ -27,18 +25,29 @@ def rolling_week_events(spark, folder):
     return rounded(rolling(read_table(spark, folder, "events", ["user_id", "ts", "value"]), "user_id", "ts", "value", 7 * 86_400))
 
 
-@query("""
-with d as (select l_suppkey, l_shipdate, sum(l_quantity) as q from lineitem group by 1, 2)
-select l_suppkey, l_shipdate, count(*) over w as days_seen from d
-window w as (partition by l_suppkey order by l_shipdate range between interval 30 days preceding and interval 1 day preceding)
-""")
-def rolling_supplier_days(spark, folder):
-    """Days with a shipment in the 30 days before: many rows share supplier and day, and count once."""
-    days = read_table(spark, folder, "lineitem", ["l_suppkey", "l_shipdate", "l_quantity"])
-    per_day = days.groupBy("l_suppkey", "l_shipdate").agg(F.sum("l_quantity").alias("q"))
-    return rolling(per_day, "l_suppkey", "l_shipdate", "q", 30 * 86_400, slices=30).select(
-        "l_suppkey", "l_shipdate", F.col("past_count").alias("days_seen")
-    )
+MONTH_SQL = """
+select distinct l_suppkey, l_shipdate, count(*) over w as past_count, round(coalesce(sum(l_quantity) over w, 0), 6) as past_sum,
+       min(l_quantity) over w as past_min, max(l_quantity) over w as past_max
+from lineitem
+window w as (partition by l_suppkey order by l_shipdate range between interval 30 days preceding and interval 1 microsecond preceding)
+"""
+
+
+def _supplier_month(spark, folder, **options):
+    lines = read_table(spark, folder, "lineitem", ["l_suppkey", "l_shipdate", "l_quantity"])
+    return rounded(rolling(lines, "l_suppkey", "l_shipdate", "l_quantity", 30 * 86_400, **options).drop("past_mean"))
+
+
+@query(MONTH_SQL)
+def rolling_month_suppliers(spark, folder):
+    """What a supplier shipped in the 30 days before each of its shipping days."""
+    return _supplier_month(spark, folder)
+
+
+@query(MONTH_SQL)
+def rolling_month_suppliers_sliced(spark, folder):
+    """The same in the sliced form, which the size check would choose for busier keys."""
+    return _supplier_month(spark, folder, frame_rows=0)
 
 
 @query("""
@@ -91,3 +100,30 @@ from o group by o_custkey
 def customer_history_orders(spark, folder):
     orders = read_table(spark, folder, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])
     return rounded(entity_aggregate(orders, "o_custkey", "o_orderdate", "o_totalprice", "2000-01-01"))
+
+
+@query("""
+select l_suppkey, l_shipdate, max(l_extendedprice) as l_extendedprice,
+       lag(max(l_extendedprice)) over w as l_extendedprice_lag1,
+       round(max(l_extendedprice) - lag(max(l_extendedprice)) over w, 6) as l_extendedprice_change1,
+       (epoch_us(l_shipdate) - epoch_us(lag(l_shipdate) over w)) / 1e6 as seconds_since1
+from lineitem group by l_suppkey, l_shipdate
+window w as (partition by l_suppkey order by l_shipdate)
+""")
+def lags_suppliers_sliced(spark, folder):
+    """A supplier's largest line of a day beside that of its shipping day before, in the sliced form."""
+    lines = read_table(spark, folder, "lineitem", ["l_suppkey", "l_shipdate", "l_extendedprice"])
+    return rounded(lags(lines, "l_suppkey", "l_shipdate", "l_extendedprice", window_rows=0))
+
+
+@query("""
+with o as (select o_custkey, o_orderdate, max(o_totalprice) as o_totalprice from orders group by 1, 2)
+select l.o_orderkey, l.o_custkey, l.o_orderdate, r.o_orderdate as asof_o_orderdate, r.o_totalprice as asof_o_totalprice
+from orders l asof left join o r on l.o_custkey = r.o_custkey and l.o_orderdate > r.o_orderdate
+""")
+def asof_earlier_order_sliced(spark, folder):
+    """Each order with the customer's latest order of an earlier day, in the sliced form."""
+    orders = read_table(spark, folder, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    return asof(
+        orders.drop("o_totalprice"), orders, "o_custkey", "o_orderdate", "o_orderdate", ["o_totalprice"], window_rows=0
+    )

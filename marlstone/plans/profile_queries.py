@@ -8,7 +8,7 @@ from marlstone.functions.columns import rounded
 from marlstone.operators.profile import chi_square, correlation, mutual_information, profile, rank_correlation, stability_index
 from marlstone.operators.quantiles import quantiles
 from marlstone.plans.registry import query
-from marlstone.sources.tables import read_table
+from marlstone.sources.tables import read_table, spread
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -25,7 +25,7 @@ from (select {column} as x, (select avg({column}) from lineitem) as m from linei
 
 @query(" union all ".join(_profile_sql(c) for c in MEASURES))
 def profile_lineitem(spark, folder):
-    return rounded(profile(read_table(spark, folder, "lineitem", MEASURES), MEASURES, exact_distinct=True), 4)
+    return rounded(profile(spread(read_table(spark, folder, "lineitem", MEASURES)), MEASURES, exact_distinct=True), 4)
 
 
 @query("""

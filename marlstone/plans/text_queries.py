@@ -3,17 +3,21 @@
 from marlstone.functions.columns import rounded
 from marlstone.operators.text import bag_of_words, tfidf
 from marlstone.plans.registry import query
-from marlstone.sources.tables import read_table
+from marlstone.sources.tables import read_table, spread
 
 WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')"
 
 
+def documents(spark, folder):
+    return spread(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id")
+
+
 @query(f"""
 with w as (select doc_id, unnest({WORDS}) as term from documents)
 select doc_id, term, count(*) as tf from w group by doc_id, term
 """)
 def bag_of_words_documents(spark, folder):
-    return bag_of_words(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id", "text")
+    return bag_of_words(documents(spark, folder), "doc_id", "text")
 
 
 @query(f"""
@@ -22,7 +26,7 @@ g as (select doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] ||
 select doc_id, term, count(*) as tf from g group by doc_id, term
 """)
 def bigrams_documents(spark, folder):
-    return bag_of_words(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id", "text", 2)
+    return bag_of_words(documents(spark, folder), "doc_id", "text", 2)
 
 
 @query(f"""
@@ -33,4 +37,4 @@ select doc_id, term, tf, df, round(tf * ln(((select count(distinct doc_id) from
 from t join d using (term)
 """)
 def tfidf_documents(spark, folder):
-    return rounded(tfidf(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id", "text"))
+    return rounded(tfidf(documents(spark, folder), "doc_id", "text"))

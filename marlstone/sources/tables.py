@@ -14,6 +14,18 @@ def read_table(spark: SparkSession, folder: str, name: str, columns: Sequence[st
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table that was just read out over the cores, if it lies in fewer pieces than there are cores.
+
+    For work that is heavy per row. A table of many files is given back as it is, so at scale this costs
+    nothing; a single small file would keep one core busy. With keys, rows are dealt out by key.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """The same table as a file stream; the schema is taken from the files at hand."""
     reader = spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
