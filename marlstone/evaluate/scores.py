@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import KEY_NUMBER_BITS, divide, join_on, key_number, present
+from marlstone.functions.columns import KEY_NUMBER_BITS, divide, key_number, present
 from marlstone.operators.blocks import add_blocks, block_edges, running_totals, value_totals
 
 LOG_CLIP = 1e-15
@@ -37,12 +37,14 @@ def _counts(df, y, score, by, descending):
 def auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve per group, ties counting one half; null when a class is missing."""
     counts = _counts(df, y, score, by, descending=False)
-    pos = F.col("pos").cast("double")
-    won = F.sum(pos * (F.col("neg_before") + F.col("neg") / 2))
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    # Pairs won less pairs lost. Both totals are used on both sides of the block join, which lets Spark
+    # read and combine the scores once for the two.
+    ahead = F.sum(pos * F.col("neg_before") - neg * F.col("pos_before"))
     return counts.groupBy(*by).agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"),
         F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"),
-        divide(won, F.sum(pos) * F.sum("neg")).alias("auc"),
+        (divide(ahead, F.sum(pos) * F.sum(neg)) / 2 + 0.5).alias("auc"),
     )
 
 
@@ -69,23 +71,13 @@ def pr_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataF
 
 
 def _curve(df, y, score, by):
-    counts = _counts(df, y, score, by, descending=True)
-    data = _scored(df, y, score, by)
-    whole = data.groupBy(*by).agg(F.sum("y").alias("all_pos"), (F.count(F.lit(1)) - F.sum("y")).alias("all_neg"))
-    if by:
-        joined = join_on(counts, whole, by)
-    else:
-        row = whole.first()
-        joined = counts.select(
-            "*", F.lit(row["all_pos"] or 0).alias("all_pos"), F.lit(row["all_neg"] or 0).alias("all_neg")
-        )
-    return joined.select(
+    return _counts(df, y, score, by, descending=True).select(
         *by,
         F.col("score").alias("threshold"),
         (F.col("pos") + F.col("pos_before")).alias("tp"),
         (F.col("neg") + F.col("neg_before")).alias("fp"),
-        "all_pos",
-        "all_neg",
+        F.col("pos_all").alias("all_pos"),
+        F.col("neg_all").alias("all_neg"),
     )
 
 
@@ -168,26 +160,27 @@ def lift(df: DataFrame, key: str, y: str, score: str, bands: int = 10) -> DataFr
     rows = rows.withColumn("tie", F.shiftright("number", KEY_NUMBER_BITS - TIE_BITS))
     counts = rows.groupBy("score", "tie").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     edges = block_edges(known, [score])
-    placed = running_totals(add_blocks(counts, ["score"], edges, ["_block"]), ["score", "tie"], ["n"], "_block", descending=True)
-    size, positives = rows.agg(F.count(F.lit(1)), F.sum("y")).first()
-    base_rate = F.lit((positives or 0) / size if size else 0.0)
+    placed = running_totals(
+        add_blocks(counts, ["score"], edges, ["_block"]), ["score", "tie"], ["n", "pos"], "_block", descending=True
+    )
 
     def band(place):
-        return (F.floor(place * F.lit(bands) / F.lit(max(size, 1))) + 1).cast("int")
+        return (F.floor(place * F.lit(bands) / F.col("n_all")) + 1).cast("int")
 
+    whole = ["n_all", "pos_all"]
     first, last = band(F.col("n_before")), band(F.col("n_before") + F.col("n") - 1)
-    inside = placed.where(first == last).select(first.alias("band"), "n", "pos")
-    crossing = placed.where(first != last).select("score", "tie", "n_before")
+    inside = placed.where(first == last).select(first.alias("band"), "n", "pos", *whole)
+    crossing = placed.where(first != last).select("score", "tie", "n_before", *whole)
     order = Window.partitionBy("score", "tie").orderBy("number", "key")
     split = (
-        join_on(rows, crossing, ["score", "tie"])
+        rows.join(F.broadcast(crossing), ["score", "tie"])  # fewer rows than bands
         .withColumn("place", F.col("n_before") + F.row_number().over(order) - 1)
-        .select(band(F.col("place")).alias("band"), F.lit(1).cast("bigint").alias("n"), F.col("y").alias("pos"))
+        .select(band(F.col("place")).alias("band"), F.lit(1).cast("bigint").alias("n"), F.col("y").alias("pos"), *whole)
     )
     rate = F.col("positives") / F.col("n")
     return (
         inside.unionByName(split)
         .groupBy("band")
-        .agg(F.sum("n").alias("n"), F.sum("pos").alias("positives"))
-        .select("band", "n", "positives", rate.alias("rate"), divide(rate, base_rate).alias("lift"))
+        .agg(F.sum("n").alias("n"), F.sum("pos").alias("positives"), (F.max("pos_all") / F.max("n_all")).alias("base_rate"))
+        .select("band", "n", "positives", rate.alias("rate"), divide(rate, F.col("base_rate")).alias("lift"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY_NUMBER_BITS = 28
+SMALL_TABLE_ROWS = 100_000
 
 
 def as_column(value: str | Column) -> Column:
@@ -86,6 +87,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
 
 
+def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a fitted table to rows, null equal to null.
+
+    The table is kept and counted first. Up to ``SMALL_TABLE_ROWS`` rows it goes to every task, so the rows stay
+    where they are and popular keys do no harm; a larger one is shuffled, and adaptive execution splits
+    skewed partitions.
+    """
+    kept = table.persist()
+    return join_on(df, F.broadcast(kept) if kept.count() <= SMALL_TABLE_ROWS else kept, keys, how)
+
+
 def rounded(df: DataFrame, places: int = 6, only: Iterable[str] | None = None) -> DataFrame:
     """Round the double columns, or the ones named."""
     names = set(only) if only is not None else {name for name, kind in df.dtypes if kind in ("double", "float")}

@@ -64,7 +64,7 @@ def score_bayes(df: DataFrame, model: BayesModel, key: str, text: str) -> DataFr
     the second minus the first.
     """
     counts = bag_of_words(df, key, text)
-    known = join_on(counts, model.words, ["term"])
+    known = counts.join(model.words, "term")
     sums = known.groupBy(key).agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in model.columns])
     joined = join_on(df.select(key), sums, [key], "left")
     logs = [

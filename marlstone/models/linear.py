@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import join_on, nan_as_null
+from marlstone.functions.columns import join_small, nan_as_null
 
 
 def fit_line(train: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -32,7 +32,7 @@ def apply_line(df: DataFrame, lines: DataFrame, x: str, by: Sequence[str] = (),
         slope, intercept = F.lit(line["slope"]).cast("double"), F.lit(line["intercept"]).cast("double")
         return df.withColumn(out, intercept + slope * F.col(x))
     named = lines.select(*by, F.col("slope").alias("_slope"), F.col("intercept").alias("_intercept"))
-    joined = join_on(df, named, by, "left")
+    joined = join_small(df, named, by)
     return joined.withColumn(out, F.col("_intercept") + F.col("_slope") * F.col(x)).drop("_slope", "_intercept")
 
 

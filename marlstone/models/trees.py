@@ -36,21 +36,13 @@ def best_split(train: DataFrame, features: Sequence[str], y: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"))
     )
     placed = running_totals(values, ["value"], ["n", "pos"], "block", by=["feature"])
-    whole = numbers.agg(
-        *[F.struct(F.count(c), F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col("_y"))), F.lit(0))).alias(c) for c in features]
-    ).first()
-    all_n = F.lit(0)
-    all_pos = F.lit(0)
-    for c in features:
-        all_n = F.when(F.col("feature") == c, F.lit(whole[c][0])).otherwise(all_n)
-        all_pos = F.when(F.col("feature") == c, F.lit(whole[c][1])).otherwise(all_pos)
     left_n, left_pos = F.col("n_before") + F.col("n"), F.col("pos_before") + F.col("pos")
 
     def impurity(pos, n):
         share = pos / n
         return n * 2.0 * share * (1 - share)
 
-    sides = placed.select("feature", "value", left_n.alias("n_left"), left_pos.alias("p"), all_n.alias("n"), all_pos.alias("all_p"))
+    sides = placed.select("feature", "value", left_n.alias("n_left"), left_pos.alias("p"), F.col("n_all").alias("n"), F.col("pos_all").alias("all_p"))
     splits = sides.where("n_left < n").select(
         "feature",
         F.col("value").alias("threshold"),

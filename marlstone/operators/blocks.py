@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import join_on, nan_as_null, present
+from marlstone.functions.columns import nan_as_null, present
 
 FEWEST_BLOCKS, MOST_BLOCKS = 64, 8_192
 
@@ -37,12 +37,13 @@ def block_edges(df: DataFrame, columns: Sequence[str], blocks: int | None = None
 
 def add_blocks(df: DataFrame, columns: Sequence[str], edges: Sequence[Sequence[float]], names: Sequence[str]) -> DataFrame:
     """Add the block number of each column by binary search in its edges."""
-    return Bucketizer(
+    marked = Bucketizer(
         splitsArray=[list(e) for e in edges],
         inputCols=list(columns),
         outputCols=list(names),
         handleInvalid="keep",
     ).transform(df)
+    return marked.withColumns({name: F.col(name).cast("int") for name in names})
 
 
 def running_totals(
@@ -53,24 +54,34 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``<total>_before``: the sum over all rows that come earlier, per ``by`` group.
+    """Add ``<total>_before``, the sum over all earlier rows, and ``<total>_all``, per ``by`` group.
 
-    ``df`` holds one row per (by, order) and a ``block`` column that rises with the first order
+    ``df`` holds one row per (by, order) and an integer ``block`` column that rises with the first order
     column. ``descending`` turns the first order column round; the others always rise.
     """
     turn = F.desc if descending else F.asc
     earlier = (Window.unboundedPreceding, -1)
-    sums = df.groupBy(*by, block).agg(*[F.sum(t).alias(f"_in_{t}") for t in totals])
-    across = Window.partitionBy(*by).orderBy(turn(block)).rowsBetween(*earlier)
+    # As a struct the group is one key that is never null, so the window, the block sums and the join can
+    # all work on the same shuffle.
+    grouped = df.withColumn("_group", F.struct(*by)) if by else df
+    group = ["_group"] if by else []
+    sums = grouped.groupBy(*group, block).agg(*[F.sum(t).alias(f"_in_{t}") for t in totals])
+    across = Window.partitionBy(*group).orderBy(turn(block)).rowsBetween(*earlier)
+    whole = Window.partitionBy(*group)
     offsets = sums.select(
-        *by, block, *[F.coalesce(F.sum(f"_in_{t}").over(across), F.lit(0)).alias(f"_to_{t}") for t in totals]
+        *group,
+        block,
+        *[F.coalesce(F.sum(f"_in_{t}").over(across), F.lit(0)).alias(f"_to_{t}") for t in totals],
+        *[F.sum(f"_in_{t}").over(whole).alias(f"{t}_all") for t in totals],
     )
-    inside = Window.partitionBy(*by, block).orderBy(turn(order[0]), *order[1:]).rowsBetween(*earlier)
-    local = df.select(
+    inside = Window.partitionBy(*group, block).orderBy(turn(order[0]), *order[1:]).rowsBetween(*earlier)
+    local = grouped.select(
         "*", *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_at_{t}") for t in totals]
     )
-    return join_on(local, offsets, [*by, block]).select(
-        *df.columns, *[(F.col(f"_at_{t}") + F.col(f"_to_{t}")).alias(f"{t}_before") for t in totals]
+    return local.join(offsets, [*group, block]).select(
+        *df.columns,
+        *[(F.col(f"_at_{t}") + F.col(f"_to_{t}")).alias(f"{t}_before") for t in totals],
+        *[f"{t}_all" for t in totals],
     )
 
 
@@ -82,7 +93,7 @@ def value_totals(
     descending: bool = False,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """One row per distinct value with its own totals and the totals before it.
+    """One row per distinct value with its own totals, the totals before it and those of the group.
 
     ``totals`` maps names to aggregate columns. Rows whose value is null or NaN have no place in
     the order and are left out. The data is combined per value in the map tasks, so a value that

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import as_column, join_on
+from marlstone.functions.columns import as_column, join_on, join_small
 
 MAX_ONE_HOT = 10_000
 
@@ -51,9 +51,9 @@ def fit_target_encode(train: DataFrame, column: str, y: str, fold: str, smoothin
     (sum + m * prior) / (count + m), where the prior is the mean of y over the other folds. Only
     category counts are compared, never the rows of a category.
     """
-    folds = train.groupBy(column, fold).agg(F.sum(F.col(y).cast("double")).alias("s"), F.count(y).alias("n"))
+    folds = train.groupBy(column, fold).agg(F.sum(F.col(y).cast("double")).alias("s"), F.count(y).alias("n")).persist()
     whole = folds.groupBy(column).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
-    per_fold = train.groupBy(fold).agg(F.sum(F.col(y).cast("double")).alias("s"), F.count(y).alias("n")).collect()
+    per_fold = folds.groupBy(fold).agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
     rows = {r[fold]: (r["s"] or 0.0, r["n"]) for r in per_fold}  # as many as folds
     all_s, all_n = sum(s for s, _ in rows.values()), sum(n for _, n in rows.values())
     prior = F.lit(None).cast("double")
@@ -74,7 +74,7 @@ def fit_target_encode(train: DataFrame, column: str, y: str, fold: str, smoothin
 
 def apply_target_encode(df: DataFrame, encodings: DataFrame, column: str, fold: str) -> DataFrame:
     """Add ``<column>_encoded`` to rows that carry their fold."""
-    return join_on(df, encodings, [column, fold], "left")
+    return join_small(df, encodings, [column, fold])
 
 
 def hash_features(df: DataFrame, columns: Sequence[str], dims: int, out: str = "hashed") -> DataFrame:

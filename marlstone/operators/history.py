@@ -16,7 +16,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import from_micros, join_on, micros
+from marlstone.functions.columns import from_micros, micros
 
 SECOND = 1_000_000
 DAY = 86_400 * SECOND
@@ -71,14 +71,17 @@ def rolling(
     are put together from slices, of which a span has enough to keep each below ``window_rows``.
     """
     span = span_seconds * SECOND
-    points = (
-        df.where(F.col(ts).isNotNull())
-        .select(F.col(key), micros(ts).alias("t"), F.col(value).cast("double").alias("v"))
-        .groupBy(key, "t")
-        .agg(F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    )
+    values = df.where(F.col(ts).isNotNull()).select(F.col(key), micros(ts).alias("t"), F.col(value).cast("double").alias("v"))
+
+    def combined(rows):
+        return rows.groupBy(key, "t").agg(
+            F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
+
     rows = busiest(df, key, ts, span)
     if rows <= frame_rows:
+        # Placed by key, the rows are combined and run through the window without another shuffle.
+        points = combined(values.repartition(key))
         frame = Window.partitionBy(key).orderBy("t").rangeBetween(-span, -1)
         sums = points.select(
             key,
@@ -95,7 +98,7 @@ def rolling(
             slices *= 2
         while span % slices:
             slices -= 1
-        sums = _rolling_by_slices(points, key, span, slices)
+        sums = _rolling_by_slices(combined(values), key, span, slices)
     return sums.select(
         key,
         from_micros("t").alias(ts),
@@ -115,13 +118,15 @@ def _rolling_by_slices(points, key, span, slices):
     of the points that still reach it. Nothing is subtracted, so sums keep their precision.
     """
     width = span // slices
+    # As a struct the key is never null, so the windows, the summary and the join share their shuffles.
+    points = points.withColumn("entity", F.struct(key))
     point = F.struct("n", "s", "lo", "hi")
     nothing = F.lit(None).cast("struct<n:bigint,s:double,lo:double,hi:double>")
     sides = F.array(
         F.struct(F.col("t").alias("t"), point.alias("now"), nothing.alias("old")),
         F.struct((F.col("t") + F.lit(span)).alias("t"), nothing.alias("now"), point.alias("old")),
     )
-    both = points.select(key, F.explode(sides).alias("e")).select(key, "e.*").withColumn("slice", _slice("t", width))
+    both = points.select("entity", F.explode(sides).alias("e")).select("entity", "e.*").withColumn("slice", _slice("t", width))
 
     def measures(source, frame, name):
         return [
@@ -131,7 +136,7 @@ def _rolling_by_slices(points, key, span, slices):
             F.max(f"{source}.hi").over(frame).alias(f"{name}_hi"),
         ]
 
-    inside = Window.partitionBy(key, "slice")
+    inside = Window.partitionBy("entity", "slice")
     head = inside.orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
     tail = inside.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
     local = both.select("*", *measures("now", head, "head"), *measures("old", tail, "tail")).where(
@@ -139,20 +144,20 @@ def _rolling_by_slices(points, key, span, slices):
     )
     summary = (
         points.withColumn("slice", _slice("t", width))
-        .groupBy(key, "slice")
+        .groupBy("entity", "slice")
         .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .select(key, "slice", point.alias("now"))
+        .select("entity", "slice", point.alias("now"))
     )
-    between = Window.partitionBy(key).orderBy("slice").rangeBetween(-(slices - 1), -1)
-    whole = summary.select(key, "slice", *measures("now", between, "mid"))
-    joined = join_on(local, whole, [key, "slice"])
+    between = Window.partitionBy("entity").orderBy("slice").rangeBetween(-(slices - 1), -1)
+    whole = summary.select("entity", "slice", *measures("now", between, "mid"))
+    joined = local.join(whole, ["entity", "slice"])
 
     def total(name, zero):
         head_part, mid_part, tail_part = [F.coalesce(F.col(f"{p}_{name}"), F.lit(zero)) for p in ("head", "mid", "tail")]
         return head_part + mid_part + tail_part
 
     return joined.select(
-        key,
+        f"entity.{key}",
         "t",
         total("n", 0).alias("n"),
         total("s", 0.0).alias("s"),
@@ -178,11 +183,8 @@ def lags(
     if steps < 1:
         raise ValueError("steps must be at least 1")
     chosen = F.max_by(value, tie) if tie else F.max(value)
-    points = (
-        df.where(F.col(ts).isNotNull())
-        .select(key, micros(ts).alias("t"), value, *([tie] if tie and tie != value else []))
-        .groupBy(key, "t")
-        .agg(chosen.alias("v"))
+    values = df.where(F.col(ts).isNotNull()).select(
+        key, micros(ts).alias("t"), value, *([tie] if tie and tie != value else [])
     )
     point = F.struct("t", "v")
 
@@ -191,10 +193,12 @@ def lags(
 
     whole = Window.partitionBy(key).orderBy("t")
     if busiest(df, key, ts) <= window_rows:
-        placed = points.select("*", *earlier(whole))
+        # Placed by key, the rows are combined and run through the window without another shuffle.
+        placed = values.repartition(key).groupBy(key, "t").agg(chosen.alias("v")).select("*", *earlier(whole))
     else:
         # Points deep inside a slice find their lags there. The first points of a slice find them
         # among the first and last points of all slices of the key, which is all that they can reach.
+        points = values.groupBy(key, "t").agg(chosen.alias("v"))
         cut = points.withColumn("slice", _slice("t", _slice_width(df, key, ts, window_rows)))
         inside = Window.partitionBy(key, "slice")
         sliced = cut.select(
@@ -267,45 +271,56 @@ def asof(
     """Each left row with the newest right row of its key strictly before the left time, else nulls.
 
     Where several right rows share key and time, the largest ``tie`` wins (without ``tie``, the largest
-    payload). The match is found once per distinct (key, time) and then joined to the left rows.
+    payload). Rows without key or time find nothing.
     """
     kept = F.struct(*payload)
-    times = (
-        left.where(F.col(left_ts).isNotNull() & F.col(key).isNotNull())
-        .select(key, micros(left_ts).alias("t"))
-        .distinct()
-        .select(key, "t", F.lit(True).alias("asks"))
-    )
-    facts = (
-        right.where(F.col(right_ts).isNotNull() & F.col(key).isNotNull())
-        .select(key, micros(right_ts).alias("t"), kept.alias("fact"), (F.col(tie) if tie else kept).alias("tie"))
-        .groupBy(key, "t")
-        .agg(F.max_by("fact", "tie").alias("fact"))
-        .withColumn("fact", F.struct("t", "fact"))
+    usable = right.where(F.col(right_ts).isNotNull() & F.col(key).isNotNull())
+    facts = usable.select(
+        F.col(key).alias("_key"),
+        micros(right_ts).alias("t"),
+        F.struct(micros(right_ts).alias("t"), (F.col(tie) if tie else kept).alias("tie"), kept.alias("row")).alias("fact"),
     )
-    both = times.unionByName(facts, allowMissingColumns=True)
-    newer = (Window.unboundedPreceding, -1)
-    nearest = F.last("fact", ignorenulls=True)
     rows = max(busiest(left, key, left_ts), busiest(right, key, right_ts))
     if rows <= window_rows:
-        found = both.withColumn("found", nearest.over(Window.partitionBy(key).orderBy("t").rangeBetween(*newer))).where("asks")
+        # One window over both sides, placed by key; the left rows travel through it whole.
+        asks = left.select(F.col(key).alias("_key"), micros(left_ts).alias("t"), F.struct(*left.columns).alias("row"))
+        both = asks.unionByName(facts, allowMissingColumns=True)
+        past = Window.partitionBy("_key").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+        newest = F.max_by("fact", F.struct("fact.t", "fact.tie")).over(past)
+        answered = both.select("_key", "t", "row", F.when(F.col("t").isNotNull(), newest).alias("found"))
+        answered = answered.where("row is not null").select("row.*", "found")
     else:
-        width = min(_slice_width(left, key, left_ts, window_rows), _slice_width(right, key, right_ts, window_rows))
-        cut = both.withColumn("slice", _slice("t", width))
-        inside = Window.partitionBy(key, "slice").orderBy("t").rangeBetween(*newer)
-        local = cut.withColumn("near", nearest.over(inside)).where("asks")
-        newest = cut.groupBy(key, "slice").agg(F.max_by("fact", "fact.t").alias("fact"))
-        before = Window.partitionBy(key).orderBy("slice").rowsBetween(*newer)
-        carried = newest.select(key, "slice", nearest.over(before).alias("far"))
-        found = join_on(local, carried, [key, "slice"]).withColumn("found", F.coalesce("near", "far"))
-    answers = found.select(key, from_micros("t").alias("_asof_t"), "found")
-    answers = answers.select(
-        key,
-        F.col("_asof_t").cast(dict(left.dtypes)[left_ts]).alias(left_ts),
+        # The match is found once per distinct (key, time) and joined to the left rows afterwards.
+        found = _asof_by_slices(left, right, facts, key, left_ts, right_ts, window_rows)
+        answers = found.select(
+            F.col("_key").alias(key), from_micros("t").cast(dict(left.dtypes)[left_ts]).alias(left_ts), "found"
+        )
+        answered = left.join(answers, [key, left_ts], "left").select(*left.columns, "found")
+    return answered.select(
+        *left.columns,
         from_micros("found.t").alias(f"asof_{right_ts}"),
-        *[F.col(f"found.fact.{c}").alias(f"asof_{c}") for c in payload],
+        *[F.col(f"found.row.{c}").alias(f"asof_{c}") for c in payload],
     )
-    return join_on(left, answers, [key, left_ts], "left")
+
+
+def _asof_by_slices(left, right, facts, key, left_ts, right_ts, window_rows):
+    times = (
+        left.where(F.col(left_ts).isNotNull() & F.col(key).isNotNull())
+        .select(F.col(key).alias("_key"), micros(left_ts).alias("t"))
+        .distinct()
+        .select("_key", "t", F.lit(True).alias("asks"))
+    )
+    points = facts.groupBy("_key", "t").agg(F.max_by("fact", "fact.tie").alias("fact"))
+    width = min(_slice_width(left, key, left_ts, window_rows), _slice_width(right, key, right_ts, window_rows))
+    cut = times.unionByName(points, allowMissingColumns=True).withColumn("slice", _slice("t", width))
+    newer = (Window.unboundedPreceding, -1)
+    nearest = F.last("fact", ignorenulls=True)
+    inside = Window.partitionBy("_key", "slice").orderBy("t").rangeBetween(*newer)
+    local = cut.withColumn("near", nearest.over(inside)).where("asks")
+    last = cut.groupBy("_key", "slice").agg(F.max_by("fact", "fact.t").alias("fact"))
+    across = Window.partitionBy("_key").orderBy("slice").rowsBetween(*newer)
+    carried = last.select("_key", "slice", nearest.over(across).alias("far"))
+    return local.join(carried, ["_key", "slice"]).select("_key", "t", F.coalesce("near", "far").alias("found"))
 
 
 def entity_aggregate(df: DataFrame, key: str, ts: str, value: str, as_of: str) -> DataFrame:

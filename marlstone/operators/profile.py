@@ -56,9 +56,16 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     data = df.select([nan_as_null(c).alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
-    one = data.agg(*[F.corr(x, y).alias(f"r_{i}") for i, (x, y) in enumerate(pairs)])
+
+    def pearson(x, y):
+        # Spark's own corr fails on a constant column where ANSI mode is on.
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+        return divide(F.covar_pop(x, y), spread)
+
+    one = data.agg(*[pearson(x, y).alias(f"r_{i}") for i, (x, y) in enumerate(pairs)])
     cells = F.array(
-        *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.nanvl(F.col(f"r_{i}"), F.lit(None).cast("double")).alias("r")) for i, (x, y) in enumerate(pairs)]
+        *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r_{i}").alias("r")) for i, (x, y) in enumerate(pairs)]
     )
     return one.select(F.explode(cells).alias("c")).select("c.*")
 
@@ -72,7 +79,7 @@ def rank_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     pairs = data.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     rank_a = average_ranks(data, "a").withColumnRenamed("rank", "ra")
     rank_b = average_ranks(data, "b").withColumnRenamed("rank", "rb")
-    ranked = join_on(join_on(pairs, rank_a, ["a"]), rank_b, ["b"])
+    ranked = pairs.join(rank_a, "a").join(rank_b, "b")
     n = F.sum("n").cast("double")
     mean = (n + 1) / 2
     # The mean rank is known, so the sums are taken around it in a second step.
@@ -84,19 +91,22 @@ def rank_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
         mean.alias("m"),
     )
     shift = F.col("n") * F.col("m") * F.col("m")
-    below = F.sqrt((F.col("aa") - shift) * (F.col("bb") - shift))
+    # What rounding leaves of the spread of a constant column counts as none.
+    spread_a, spread_b = [F.when(F.col(c) - shift > shift * 1e-12, F.col(c) - shift) for c in ("aa", "bb")]
+    below = F.sqrt(spread_a * spread_b)
     return sums.select(F.lit(x).alias("x"), F.lit(y).alias("y"), divide(F.col("ab") - shift, below).alias("r"))
 
 
 def mutual_information(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row (x, y, n, mutual_information, entropy_x, entropy_y), natural logarithm.
 
-    Cell and margin counts come from one grouping-sets aggregate, and the sums need no join: n * MI is the
-    sum of c ln c over the cells, less those over both margins, plus n ln n.
+    Rows are counted per cell in the map tasks, and grouping sets over the cells give the margins. The sums
+    need no join: n * MI is the sum of c ln c over the cells, less those over both margins, plus n ln n.
     """
     known = df.select(F.col(x).alias("a"), F.col(y).alias("b")).where("a is not null and b is not null")
-    counts = known.groupingSets([["a", "b"], ["a"], ["b"]], "a", "b").agg(
-        F.count(F.lit(1)).alias("c"), F.grouping_id().alias("g")
+    cells = known.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    counts = cells.groupingSets([["a", "b"], ["a"], ["b"]], "a", "b").agg(
+        F.sum("c").alias("c"), F.grouping_id().alias("g")
     )
     weight = F.col("c") * F.log(F.col("c").cast("double"))
     sums = counts.agg(
@@ -125,7 +135,7 @@ def chi_square(df: DataFrame, x: str, y: str) -> DataFrame:
     cells = known.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
     margin_a = cells.groupBy("a").agg(F.sum("c").alias("row"))
     margin_b = cells.groupBy("b").agg(F.sum("c").alias("column"))
-    filled = join_on(join_on(cells, margin_a, ["a"]), margin_b, ["b"])
+    filled = cells.join(margin_a, "a").join(margin_b, "b")
     c, row, column = F.col("c").cast("double"), F.col("row"), F.col("column")
     sums = filled.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"),

@@ -11,6 +11,7 @@ from marlstone.functions.columns import join_on, nan_as_null
 from marlstone.operators.blocks import add_blocks, block_edges
 
 SMALL_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def quantiles(
@@ -81,8 +82,13 @@ def _by_blocks(data, columns, shares, by, blocks):
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
         .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
         .select(*keys, "block", "share", "place", "rank", "start")
+        .persist()
     )
+    # Two ranks per group, column and share. Where those are few, the rows are filtered where they were read;
+    # with very many groups they are shuffled instead.
     held = wanted.select(*keys, "block").distinct()
+    if wanted.count() <= BROADCAST_ROWS:
+        held, wanted = F.broadcast(held), F.broadcast(wanted)
     inside = Window.partitionBy(*keys, "block").orderBy("x")
     sorted_values = (
         join_on(long, held, [*keys, "block"], "left_semi")

@@ -38,6 +38,11 @@ def time_split(df: DataFrame, ts: str, cutoff: str | Column, out: str = "part")
     return df.withColumn(out, F.when(F.col(ts) < limit, "train").when(F.col(ts) >= limit, "test"))
 
 
+def before(df: DataFrame, ts: str, cutoff: str) -> DataFrame:
+    """The rows that ``time_split`` calls train, as a plain comparison that reaches the scan."""
+    return df.where(F.col(ts) < F.lit(cutoff).cast("timestamp_ntz"))
+
+
 def shared_entities(df: DataFrame, entity: Sequence[str], part: str = "part") -> DataFrame:
     """How far the test rows' entities are also seen in train.
 
@@ -58,7 +63,7 @@ def shared_entities(df: DataFrame, entity: Sequence[str], part: str = "part") ->
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class its rows and the weight n / (classes * n_class); rows without a label are left out."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).persist()
     whole = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))
     row = whole.first()
     return counts.withColumn("weight", F.lit(float(row["rows"] or 0)) / (F.lit(row["classes"]) * F.col("n")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import join_on, ngrams
+from marlstone.functions.columns import ngrams
 
 
 def bag_of_words(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
@@ -30,4 +30,4 @@ def tfidf(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     frequency = counts.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
     texts = df.select(key).distinct().count()
     weight = F.col("tf") * F.log((F.lit(texts) + 1.0) / (F.col("df") + 1.0))
-    return join_on(counts, frequency, ["term"]).select(key, "term", "tf", "df", weight.alias("tfidf"))
+    return counts.join(frequency, "term").select(key, "term", "tf", "df", weight.alias("tfidf"))

@@ -12,7 +12,7 @@ from marlstone.operators.categories import (
 )
 from marlstone.operators.clean import apply_clip, apply_impute, fit_clip, fit_impute
 from marlstone.operators.scale import apply_bins, apply_scale, fit_bins, fit_scale
-from marlstone.operators.splits import kfold, time_split
+from marlstone.operators.splits import before, kfold
 from marlstone.plans.registry import query
 from marlstone.plans.split_queries import NUMBER
 from marlstone.sources.tables import read_table, spread
@@ -35,17 +35,17 @@ select event_id, round(coalesce(amount, (select a from m)), 6) as amount, amount
 from e
 """)
 def impute_events(spark, folder):
-    events = time_split(read_table(spark, folder, "events", ["event_id", "ts", "event_type", "value"]), "ts", EVENT_CUTOFF)
+    events = read_table(spark, folder, "events", ["event_id", "ts", "event_type", "value"])
     known = F.when(F.col("event_type") != "error", F.col("value"))
     gaps = events.select(
         "event_id",
-        "part",
+        "ts",
         known.alias("amount"),
         known.alias("median_amount"),
         F.when(F.col("event_type") != "signup", F.col("event_type")).alias("kind"),
     )
-    fills = fit_impute(gaps.where("part = 'train'"), {"amount": "mean", "median_amount": "median", "kind": "mode"})
-    return rounded(apply_impute(gaps.drop("part"), fills, flag=True))
+    fills = fit_impute(before(gaps, "ts", EVENT_CUTOFF), {"amount": "mean", "median_amount": "median", "kind": "mode"})
+    return rounded(apply_impute(gaps.drop("ts"), fills, flag=True))
 
 
 @query("""
@@ -53,8 +53,8 @@ with q as (select quantile_cont(value, 0.05) as lo, quantile_cont(value, 0.95) a
 select event_id, round(greatest(least(value, hi), lo), 6) as value from events, q
 """)
 def clip_events(spark, folder):
-    events = time_split(read_table(spark, folder, "events", ["event_id", "ts", "value"]), "ts", EVENT_CUTOFF)
-    limits = fit_clip(events.where("part = 'train'"), ["value"], 0.05, 0.95)
+    events = read_table(spark, folder, "events", ["event_id", "ts", "value"])
+    limits = fit_clip(before(events, "ts", EVENT_CUTOFF), ["value"], 0.05, 0.95)
     return rounded(apply_clip(events.select("event_id", "value"), limits))
 
 
@@ -69,12 +69,8 @@ select l_orderkey, l_linenumber, round((l_extendedprice - m) / d, 6) as l_extend
 from lineitem, s
 """)
 def scale_lineitem(spark, folder):
-    lines = time_split(
-        spread(read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"])),
-        "l_shipdate",
-        "2000-01-01",
-    )
-    train = lines.where("part = 'train'")
+    lines = spread(read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"]))
+    train = before(read_table(spark, folder, "lineitem", ["l_extendedprice", "l_shipdate"]), "l_shipdate", "2000-01-01")
     out = lines.select("l_orderkey", "l_linenumber", "l_extendedprice")
     for method in ("standard", "minmax", "robust"):
         out = apply_scale(out, fit_scale(train, ["l_extendedprice"], method), f"_{method}")
@@ -104,9 +100,9 @@ select event_id, idx::int as event_type_idx,
 from events left join c using (event_type)
 """)
 def onehot_events(spark, folder):
-    events = time_split(read_table(spark, folder, "events", ["event_id", "ts", "event_type"]), "ts", EVENT_CUTOFF)
+    events = read_table(spark, folder, "events", ["event_id", "ts", "event_type"])
     # 'signup' is kept out of the fit, so it is a category that was never seen.
-    index = fit_index(events.where("part = 'train' and event_type <> 'signup'"), "event_type")
+    index = fit_index(before(events, "ts", EVENT_CUTOFF).where("event_type <> 'signup'"), "event_type")
     coded = apply_index(events.select("event_id", "event_type"), index, "event_type")
     flags = F.array_join(F.transform("event_type_onehot", lambda x: x.cast("int").cast("string")), " ")
     return coded.select("event_id", F.col("event_type_idx").cast("int").alias("event_type_idx"), flags.alias("event_type_onehot"))

@@ -113,7 +113,7 @@ window w as (partition by l_suppkey order by l_shipdate)
 def lags_suppliers_sliced(spark, folder):
     """A supplier's largest line of a day beside that of its shipping day before, in the sliced form."""
     lines = read_table(spark, folder, "lineitem", ["l_suppkey", "l_shipdate", "l_extendedprice"])
-    return rounded(lags(lines, "l_suppkey", "l_shipdate", "l_extendedprice", window_rows=0))
+    return rounded(lags(lines, "l_suppkey", "l_shipdate", "l_extendedprice", window_rows=10))
 
 
 @query("""
@@ -125,5 +125,5 @@ def asof_earlier_order_sliced(spark, folder):
     """Each order with the customer's latest order of an earlier day, in the sliced form."""
     orders = read_table(spark, folder, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     return asof(
-        orders.drop("o_totalprice"), orders, "o_custkey", "o_orderdate", "o_orderdate", ["o_totalprice"], window_rows=0
+        orders.drop("o_totalprice"), orders, "o_custkey", "o_orderdate", "o_orderdate", ["o_totalprice"], window_rows=5
     )

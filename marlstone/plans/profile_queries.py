@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marlstone.functions.columns import rounded
 from marlstone.operators.profile import chi_square, correlation, mutual_information, profile, rank_correlation, stability_index
 from marlstone.operators.quantiles import quantiles
+from marlstone.operators.splits import before
 from marlstone.plans.registry import query
 from marlstone.sources.tables import read_table, spread
 
@@ -110,5 +111,5 @@ def drift_by_week_events(spark, folder):
     events = read_table(spark, folder, "events", ["ts", "value"]).withColumn(
         "week", F.date_trunc("week", "ts").cast("timestamp_ntz")
     )
-    base = events.where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    base = before(events, "ts", "2024-01-08")
     return rounded(stability_index(base, events, "value", 10, ["week"]))

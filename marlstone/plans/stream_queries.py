@@ -1,10 +1,9 @@
 """Streams over the events and documents tables as file sources, run until all that has arrived is done."""
 
-from pyspark.sql import functions as F
-
 from marlstone.functions.columns import rounded
 from marlstone.operators.profile import base_shares
 from marlstone.operators.scale import fit_bins
+from marlstone.operators.splits import before
 from marlstone.plans.model_queries import text_model
 from marlstone.plans.registry import query
 from marlstone.session import shared_dir
@@ -67,7 +66,7 @@ from s group by day, n having day + interval 1 day <= {CLOSED}
 """)
 def stream_drift(spark, folder):
     events = read_table(spark, folder, "events", ["ts", "value"])
-    base = events.where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    base = before(events, "ts", "2024-01-08")
     edges = fit_bins(base, "value", 10, "quantile")
     shares = base_shares(base, "value", edges)
     made = drift_features(stream_table(spark, folder, "events").select("ts", "value"), "ts", "value", "1 day", "1 hour", edges, shares)

@@ -9,7 +9,7 @@ WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w
 
 
 def documents(spark, folder):
-    return spread(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id")
+    return spread(read_table(spark, folder, "documents", ["doc_id", "text"]))
 
 
 @query(f"""

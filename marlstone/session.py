@@ -15,6 +15,10 @@ SETTINGS = {
     # Split a skewed join even when the split costs one more shuffle further on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Window and session state larger than memory stays on the executors' disks.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Merge a session's rows in each map task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

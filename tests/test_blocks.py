@@ -39,6 +39,7 @@ def test_value_totals(spark, skewed, by, descending):
             earlier = (part["x"] > row.x) if descending else (part["x"] < row.x)
             assert row.n_before == earlier.sum()
             assert row.n == (part["x"] == row.x).sum()
+            assert row.n_all == len(part)
             seen += row.n
     assert seen == len(skewed)
 
@@ -56,7 +57,7 @@ def test_totals_do_not_depend_on_the_edges(spark, skewed):
 def test_values_without_a_place_are_left_out(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
     got = sorted(tuple(r) for r in value_totals(df, "x", {"n": F.count(F.lit(1))}).collect())
-    assert got == [(float("-inf"), 1, 0), (1.0, 1, 1), (float("inf"), 1, 2)]
+    assert got == [(float("-inf"), 1, 0, 3), (1.0, 1, 1, 3), (float("inf"), 1, 2, 3)]
 
 
 def test_average_ranks(spark, skewed):
