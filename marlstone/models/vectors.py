@@ -129,6 +129,12 @@ def _best(query_ids, query_points, base_ids, base_points, k, chunk=1024):
     return pd.DataFrame(dict(zip(("query_id", "base_id", "similarity"), columns)))
 
 
+def _keep(found, k):
+    """The k best rows per query out of several parts, so that a task gives back k rows per query."""
+    ordered = found.sort_values(["query_id", "similarity", "base_id"], ascending=[True, False, True])
+    return ordered.groupby("query_id", sort=False).head(k)
+
+
 FOUND = "query_id bigint, base_id bigint, similarity double"
 
 
@@ -169,10 +175,14 @@ def _against_all(queries, base, k):
 
     def search(batches):
         ids, points = shared.value
+        kept = None
         for batch in batches:
             if len(batch):
                 batch = batch.sort_values("id")
-                yield _best(ids, points, batch["id"].to_numpy(), _unit(batch["v"]), k)
+                found = _best(ids, points, batch["id"].to_numpy(), _unit(batch["v"]), k)
+                kept = found if kept is None else _keep(pd.concat([kept, found]), k)
+        if kept is not None:
+            yield kept
 
     return base.mapInPandas(search, FOUND)
 

@@ -36,14 +36,18 @@ def block_edges(df: DataFrame, columns: Sequence[str], blocks: int | None = None
 
 
 def add_blocks(df: DataFrame, columns: Sequence[str], edges: Sequence[Sequence[float]], names: Sequence[str]) -> DataFrame:
-    """Add the block number of each column by binary search in its edges."""
+    """Add the block number of each column by binary search in its edges; a missing value gets -1.
+
+    The number is never null: otherwise Spark would push null checks, and the search with them, down to the raw
+    rows on one side of the block join only, and could no longer share the shuffle below it.
+    """
     marked = Bucketizer(
         splitsArray=[list(e) for e in edges],
         inputCols=list(columns),
         outputCols=list(names),
         handleInvalid="keep",
     ).transform(df)
-    return marked.withColumns({name: F.col(name).cast("int") for name in names})
+    return marked.withColumns({name: F.coalesce(F.col(name).cast("int"), F.lit(-1)) for name in names})
 
 
 def running_totals(
@@ -78,6 +82,8 @@ def running_totals(
     local = grouped.select(
         "*", *[F.coalesce(F.sum(t).over(inside), F.lit(0)).alias(f"_at_{t}") for t in totals]
     )
+    if not by:
+        offsets = F.broadcast(offsets)  # at most MOST_BLOCKS rows
     return local.join(offsets, [*group, block]).select(
         *df.columns,
         *[(F.col(f"_at_{t}") + F.col(f"_to_{t}")).alias(f"{t}_before") for t in totals],

@@ -27,8 +27,12 @@ FRAME_ROWS = 1_000
 
 
 def _slice(column, width):
-    """Number of the slice a time falls into; integer arithmetic, right for times before 1970."""
-    return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
+    """Number of the slice a time falls into; integer arithmetic, right for times before 1970.
+
+    The times are never null here. Saying so keeps null checks out of one side of the slice join, so that both
+    sides can share their shuffle.
+    """
+    return F.coalesce(F.expr(f"({column} - pmod({column}, {width}L)) div {width}L"), F.lit(0))
 
 
 def busiest(df: DataFrame, key: str, ts: str, width: int | None = None) -> int:

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import divide, join_on, nan_as_null, present
+from marlstone.functions.columns import divide, nan_as_null, present
 from marlstone.operators.blocks import average_ranks
 from marlstone.operators.quantiles import quantiles
 from marlstone.operators.scale import apply_bins, fit_bins
@@ -19,10 +19,10 @@ SHARE_FLOOR = 1e-6
 def profile(df: DataFrame, columns: Sequence[str], exact_distinct: bool = False) -> DataFrame:
     """One row per number column: rows, nulls, distinct, min, max, mean, deviation, skewness, kurtosis, quartiles.
 
-    Everything but the quartiles comes from one aggregate. Distinct counts are sketches unless
-    ``exact_distinct`` asks for the shuffle that exact ones need. NaN counts as null.
+    The moments come from one aggregate. Distinct counts are sketches in the same pass unless ``exact_distinct``
+    asks for exact ones: those shuffle each column's distinct values, apart from the moments, so that no sums are
+    carried along per value. NaN counts as null.
     """
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     data = df.select([nan_as_null(c).alias(c) for c in columns])
     stats = data.agg(
         *[
@@ -30,7 +30,7 @@ def profile(df: DataFrame, columns: Sequence[str], exact_distinct: bool = False)
                 F.lit(c).alias("column"),
                 F.count(F.lit(1)).alias("n_rows"),
                 (F.count(F.lit(1)) - F.count(c)).alias("n_null"),
-                distinct(c).alias("n_distinct"),
+                (F.lit(None).cast("bigint") if exact_distinct else F.approx_count_distinct(c)).alias("n_distinct"),
                 F.min(c).alias("min"),
                 F.max(c).alias("max"),
                 F.avg(c).alias("mean"),
@@ -42,11 +42,42 @@ def profile(df: DataFrame, columns: Sequence[str], exact_distinct: bool = False)
         ]
     )
     long = stats.select(F.explode(F.array(*[F.col(f"stats_{c}") for c in columns])).alias("s")).select("s.*")
+    if exact_distinct:
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in columns])
+        values = data.select(F.explode(cells).alias("c")).select("c.*").where("x is not null").distinct()
+        exact = values.groupBy("column").agg(F.count(F.lit(1)).alias("exact"))
+        joined = long.join(exact, "column", "left")
+        long = joined.withColumn("n_distinct", F.coalesce("exact", F.lit(0))).drop("exact")
     quarter = quantiles(df, columns, [0.25, 0.5, 0.75])
     wide = quarter.groupBy("column").agg(
-        *[F.max(F.when(F.col("share") == share, F.col("value"))).alias(name) for share, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
+        *[
+            F.max(F.when(F.col("share") == share, F.col("value"))).alias(name)
+            for share, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+        ]
+    )
+    return long.join(wide, "column", "left")
+
+
+def profile_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per text column: rows, nulls, distinct values, the most frequent one and its rows, entropy.
+
+    Rows are counted per (column, value) in the map tasks; ties for the most frequent go to the first in
+    alphabetical order.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("x")) for c in columns])
+    counts = df.select(F.explode(cells).alias("c")).select("c.*").groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    held = F.when(F.col("x").isNotNull(), F.col("n"))
+    sums = counts.groupBy("column").agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.count("x").alias("n_distinct"),
+        F.min_by("x", F.when(F.col("x").isNotNull(), F.struct(-F.col("n"), F.col("x")))).alias("top"),
+        F.max(held).alias("top_rows"),
+        F.sum(held).alias("held"),
+        F.sum(held * F.log(held.cast("double"))).alias("weighted"),
     )
-    return join_on(long, wide, ["column"], "left")
+    entropy = F.log(F.col("held").cast("double")) - F.col("weighted") / F.col("held")
+    return sums.select("column", "n_rows", "n_null", "n_distinct", "top", "top_rows", entropy.alias("entropy"))
 
 
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:

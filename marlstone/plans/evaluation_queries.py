@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from marlstone.evaluate import scores
 from marlstone.evaluate.classes import class_report, confusion
 from marlstone.evaluate.numbers import regression_report
-from marlstone.evaluate.rankings import cluster_report, ranking_report, ranking_summary
+from marlstone.evaluate.rankings import cluster_report, ranking_report, ranking_summary, silhouette
 from marlstone.functions.columns import rounded
 from marlstone.models.linear import apply_line, fit_line
 from marlstone.models.vectors import assign_nearest, fit_centroids, nearest_neighbours
@@ -252,3 +252,22 @@ def cluster_report_embeddings(spark, folder):
     vectors = read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"])
     assigned = assign_nearest(vectors, fit_centroids(vectors, "embedding", "label"), "embedding")
     return rounded(cluster_report(assigned, "pred", "label"))
+
+
+@query(f"""
+with x as (select vec_id, label, generate_subscripts(embedding, 1) as d, unnest(embedding)::double as v from embeddings),
+p as (select vec_id, label, sum(v * v) as sq from x group by vec_id, label),
+c as (select label, d, sum(v) as s from x group by label, d),
+n as (select label, count(*) as n, sum(sq) as sq from p group by label),
+g as (
+  select x.vec_id, x.label as mine, c.label as other, sum(x.v * c.s) as dot from x join c on x.d = c.d group by 1, 2, 3),
+m as (
+  select g.vec_id, mine, other, (n.n * p.sq + n.sq - 2 * dot) / case when mine = other then n.n - 1 else n.n end as gap
+  from g join p on p.vec_id = g.vec_id join n on n.label = other),
+a as (select vec_id, max(gap) filter (where mine = other) as own, min(gap) filter (where mine <> other) as near from m group by vec_id)
+select 'squared_euclidean' as distance, round(avg((near - own) / greatest(near, own)), 6) as silhouette from a
+""")
+def silhouette_embeddings(spark, folder):
+    """How well the labels, taken as clusters, hang together."""
+    vectors = read_table(spark, folder, "embeddings", ["embedding", "label"])
+    return rounded(spark.createDataFrame([("squared_euclidean", silhouette(vectors, "embedding", "label"))], "distance string, silhouette double"))

@@ -5,7 +5,15 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import rounded
-from marlstone.operators.profile import chi_square, correlation, mutual_information, profile, rank_correlation, stability_index
+from marlstone.operators.profile import (
+    chi_square,
+    correlation,
+    mutual_information,
+    profile,
+    profile_categories,
+    rank_correlation,
+    stability_index,
+)
 from marlstone.operators.quantiles import quantiles
 from marlstone.operators.splits import before
 from marlstone.plans.registry import query
@@ -29,6 +37,27 @@ def profile_lineitem(spark, folder):
     return rounded(profile(spread(read_table(spark, folder, "lineitem", MEASURES)), MEASURES, exact_distinct=True), 4)
 
 
+CATEGORIES = ("l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query(
+    "with c as ("
+    + " union all ".join(
+        f"select '{c}' as \"column\", strftime({c}, '%Y-%m-%d %H:%M:%S') as x, count(*) as n from lineitem group by {c}"
+        if c == "l_shipdate"
+        else f"select '{c}', {c}, count(*) from lineitem group by {c}"
+        for c in reversed(CATEGORIES)
+    )
+    + """)
+select "column", sum(n)::bigint as n_rows, coalesce(sum(n) filter (where x is null), 0)::bigint as n_null, count(x) as n_distinct,
+       arg_min(x, (-n, x)) as top, max(n) as top_rows, round(ln(sum(n)) - sum(n * ln(n)) / sum(n), 6) as entropy
+from c group by "column"
+"""
+)
+def profile_categories_lineitem(spark, folder):
+    return rounded(profile_categories(read_table(spark, folder, "lineitem", CATEGORIES), CATEGORIES))
+
+
 @query("""
 with q as (
   select l_returnflag, quantile_cont(l_extendedprice, [0.1, 0.5, 0.99]) as p, quantile_cont(l_quantity, [0.1, 0.5, 0.99]) as k

@@ -5,7 +5,15 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators.profile import chi_square, correlation, mutual_information, profile, rank_correlation, stability_index
+from marlstone.operators.profile import (
+    chi_square,
+    correlation,
+    mutual_information,
+    profile,
+    profile_categories,
+    rank_correlation,
+    stability_index,
+)
 
 from .conftest import close
 
@@ -69,3 +77,13 @@ def test_stability_index(spark):
     assert psi == pytest.approx((1.0 - 0.5) * math.log(1.0 / 0.5) + (1e-6 - 0.5) * math.log(1e-6 / 0.5)) and half < 0.5
     by = stability_index(base, base.withColumn("g", (F.col("x") >= 500).cast("int")), "x", 2, ["g"]).collect()
     assert sorted((r["g"], r["n"]) for r in by) == [(0, 500), (1, 500)]
+
+
+def test_profile_of_categories(spark):
+    df = spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None), (None, None)], "c string, e string")
+    got = {r["column"]: r for r in profile_categories(df, ["c", "e"]).collect()}
+    c = got["c"]
+    assert (c["n_rows"], c["n_null"], c["n_distinct"], c["top"], c["top_rows"]) == (5, 1, 2, "a", 2)
+    assert close(c["entropy"], math.log(2))
+    e = got["e"]
+    assert (e["n_rows"], e["n_null"], e["n_distinct"], e["top"], e["entropy"]) == (5, 5, 0, None, None)
