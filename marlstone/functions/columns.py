@@ -98,9 +98,10 @@ def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str =
     return join_on(df, F.broadcast(kept) if kept.count() <= SMALL_TABLE_ROWS else kept, keys, how)
 
 
-def rounded(df: DataFrame, places: int = 6, only: Iterable[str] | None = None) -> DataFrame:
-    """Round the double columns, or the ones named."""
+def rounded(df: DataFrame, places: int = 6, only: Iterable[str] | None = None, **other: int) -> DataFrame:
+    """Round the double columns, or the ones named; ``other`` gives columns places of their own."""
     names = set(only) if only is not None else {name for name, kind in df.dtypes if kind in ("double", "float")}
+    wanted = {**dict.fromkeys(names, places), **other}
     return df.select(
-        [F.round(F.col(name).cast("double"), places).alias(name) if name in names else F.col(name) for name in df.columns]
+        [F.round(F.col(c).cast("double"), wanted[c]).alias(c) if c in wanted else F.col(c) for c in df.columns]
     )

@@ -107,11 +107,15 @@ def _unit(vectors) -> np.ndarray:
 
 
 def _best(query_ids, query_points, base_ids, base_points, k, chunk=1024):
-    """The k best base rows per query; ties to the smaller id. Base rows are in id order."""
+    """The k best base rows per query; ties to the smaller id.
+
+    Similarities are rounded to 12 places: matrix products of equal vectors can differ in the last bits, and
+    copies should tie.
+    """
     found = []
     for start in range(0, len(query_ids), chunk):
         ids = query_ids[start : start + chunk]
-        similarity = query_points[start : start + chunk] @ base_points.T
+        similarity = np.round(query_points[start : start + chunk] @ base_points.T, 12)
         similarity[ids[:, None] == base_ids[None, :]] = -np.inf
         width = min(k, similarity.shape[1])
         if width < similarity.shape[1]:
@@ -178,7 +182,6 @@ def _against_all(queries, base, k):
         kept = None
         for batch in batches:
             if len(batch):
-                batch = batch.sort_values("id")
                 found = _best(ids, points, batch["id"].to_numpy(), _unit(batch["v"]), k)
                 kept = found if kept is None else _keep(pd.concat([kept, found]), k)
         if kept is not None:
@@ -200,7 +203,6 @@ def _block_by_block(queries, base, k, query_blocks, base_blocks):
     def search(left_part, right_part):
         if left_part.empty or right_part.empty:
             return pd.DataFrame({"query_id": [], "base_id": [], "similarity": []})
-        right_part = right_part.sort_values("id")
         return _best(left_part["id"].to_numpy(), _unit(left_part["v"]), right_part["id"].to_numpy(), _unit(right_part["v"]), k)
 
     return left.groupBy("qb", "bb").cogroup(right.groupBy("qb", "bb")).applyInPandas(search, FOUND)

@@ -17,12 +17,14 @@ def calendar_orders(spark, folder):
 
 @query("""
 select user_id, ts, count(value) over w as past_count, round(coalesce(sum(value) over w, 0), 6) as past_sum,
-       round(avg(value) over w, 6) as past_mean, round(min(value) over w, 6) as past_min, round(max(value) over w, 6) as past_max
+       round(avg(value) over w, 9) as past_mean, round(min(value) over w, 6) as past_min, round(max(value) over w, 6) as past_max
 from events
 window w as (partition by user_id order by ts range between interval 7 days preceding and interval 1 microsecond preceding)
 """)
 def rolling_week_events(spark, folder):
-    return rounded(rolling(read_table(spark, folder, "events", ["user_id", "ts", "value"]), "user_id", "ts", "value", 7 * 86_400))
+    events = read_table(spark, folder, "events", ["user_id", "ts", "value"])
+    # Means of cents often end in a 5 at the seventh place, where the order of adding would decide the rounding.
+    return rounded(rolling(events, "user_id", "ts", "value", 7 * 86_400), past_mean=9)
 
 
 MONTH_SQL = """

@@ -16,12 +16,12 @@ CLOSED = "(select max(ts) - interval 1 hour from events)"
 
 @query(f"""
 select date_trunc('day', ts)::timestamp as window_start, date_trunc('day', ts)::timestamp + interval 1 day as window_end, event_type,
-       count(*) as n, round(sum(value), 6) as total, round(avg(value), 6) as mean, min(value) as smallest, max(value) as largest
+       count(*) as n, round(sum(value), 6) as total, round(avg(value), 9) as mean, min(value) as smallest, max(value) as largest
 from events group by 1, 2, 3 having window_end <= {CLOSED}
 """)
 def stream_daily_windows(spark, folder):
     made = window_features(stream_table(spark, folder, "events"), ["event_type"], "ts", "value", "1 day", "1 hour")
-    return rounded(run_to_table(spark, made))
+    return rounded(run_to_table(spark, made), mean=9)
 
 
 @query(f"""
@@ -29,12 +29,12 @@ with w as (
   select time_bucket(interval 6 hours, ts) - to_hours(6 * k) as window_start, event_type, value
   from events, range(0, 2) r(k))
 select window_start::timestamp as window_start, (window_start + interval 12 hours)::timestamp as window_end, event_type, count(*) as n,
-       round(sum(value), 6) as total, round(avg(value), 6) as mean, min(value) as smallest, max(value) as largest
+       round(sum(value), 6) as total, round(avg(value), 9) as mean, min(value) as smallest, max(value) as largest
 from w group by 1, 2, 3 having window_end <= {CLOSED}
 """)
 def stream_sliding_windows(spark, folder):
     made = window_features(stream_table(spark, folder, "events"), ["event_type"], "ts", "value", "12 hours", "1 hour", "6 hours")
-    return rounded(run_to_table(spark, made))
+    return rounded(run_to_table(spark, made), mean=9)
 
 
 @query(f"""

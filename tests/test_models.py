@@ -110,6 +110,7 @@ def test_neighbours(points, options):
     for i in range(len(vectors)):
         mine = sorted((r["place"], r["base_id"], r["similarity"]) for r in found if r["query_id"] == i)
         assert [p for p, *_ in mine] == [1, 2, 3, 4, 5]
+        assert [base for _, base, _ in mine] == [base for base, _ in expected[i]]
         assert all(close(s, want) for (_, _, s), (_, want) in zip(mine, expected[i]))
 
 
