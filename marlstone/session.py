@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,11 +39,9 @@ def get_session(master: str | None = None, app: str = "marlstone", **settings: s
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path that all executors can reach, below ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it then gets a temporary folder.
+    Where that setting is missing, as in tests, the folder is ``scratch`` in the session's warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="marlstone-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
