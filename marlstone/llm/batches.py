@@ -7,6 +7,7 @@ and on the longest single text only.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -81,11 +82,70 @@ def _power(name: str, base: int, size: int) -> np.ndarray:
     return known
 
 
+@cache
+def _point_marks() -> np.ndarray:
+    return mix(np.arange(1, 0x110001, dtype="u8"))
+
+
+class HashIndex:
+    """Distinct 64-bit keys, numbered in the order they were added; lookups of many keys are a few array steps."""
+
+    def __init__(self, keys: np.ndarray | None = None) -> None:
+        self.keys = np.zeros(0, "u8")
+        self._size = 0
+        self._slots = np.full(1 << 10, -1, "i4")
+        if keys is not None:
+            self.add(keys)
+
+    def __len__(self) -> int:
+        return self._size
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        bits = len(self._slots).bit_length() - 1
+        return ((keys * np.uint64(_BASE)) >> np.uint64(64 - bits)).astype("i8")
+
+    def _put(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        slots, mask = self._slot(keys), len(self._slots) - 1
+        while len(numbers):
+            free = self._slots[slots] < 0
+            self._slots[slots[free]] = numbers[free]
+            lost = self._slots[slots] != numbers
+            slots, numbers = (slots[lost] + 1) & mask, numbers[lost]
+
+    def add(self, keys: np.ndarray) -> None:
+        """Keys must be distinct and new."""
+        size = self._size + len(keys)
+        if size > len(self.keys):
+            grown = np.zeros(max(size, 2 * len(self.keys)), "u8")
+            grown[: self._size] = self.keys[: self._size]
+            self.keys = grown
+        self.keys[self._size : size] = keys
+        if 2 * size > len(self._slots):
+            self._slots = np.full(1 << (4 * size).bit_length(), -1, "i4")
+            self._put(self.keys[:size], np.arange(size, dtype="i4"))
+        else:
+            self._put(keys, np.arange(self._size, size, dtype="i4"))
+        self._size = size
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for unknown ones."""
+        if not self._size:
+            return np.full(len(keys), -1, "i8")
+        slots, mask = self._slot(keys), len(self._slots) - 1
+        found = self._slots[slots]
+        wrong = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
+        while len(wrong):
+            slots[wrong] = (slots[wrong] + 1) & mask
+            found[wrong] = self._slots[slots[wrong]]
+            wrong = wrong[(found[wrong] >= 0) & (self.keys[found[wrong]] != keys[wrong])]
+        return found.astype("i8")
+
+
 def span_hashes(points: np.ndarray, spans: Spans) -> np.ndarray:
     """A 64-bit hash of the points of each span; it depends on nothing else."""
     size = len(points) + 1
     sums = np.zeros(size, "u8")
-    np.cumsum(mix(points.astype("u8") + np.uint64(1)) * _power("up", _BASE, size)[: size - 1], out=sums[1:])
+    np.cumsum(_point_marks()[points] * _power("up", _BASE, size)[: size - 1], out=sums[1:])
     down = _power("down", pow(_BASE, -1, 1 << 64), size)
     value = (sums[spans.last] - sums[spans.first]) * down[spans.first]
     return mix(value + (spans.last - spans.first).astype("u8"))

@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
+from marlstone.llm.token_files import read_token_files, write_token_files
+from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(read_table(spark, folder, "documents", ["doc_id", "text"]), WORD_BPE)
+
+
+def op4_patched_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    write_token_files(read_table(spark, folder, "documents", ["doc_id", "text"]), BYTE_BPE, path)
+    return read_token_files(spark, path, digest=True).withColumnRenamed("id", "doc_id")
+
 
 def op10_msd_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     return mark_copies(docs).select("doc_id", "copies.*")
 
 
-QUERIES = {q.__name__: q for q in (op10_msd_exact_dedup,)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op4_patched_token_files, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
