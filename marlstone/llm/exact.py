@@ -61,8 +61,9 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     longest = members.agg(F.max("length")).first()[0] or 0
     if longest > reach:
         # Only rows that share their first digit with another need their text; it is written once.
+        # Texts meet the wanted labels in a merge join at every size: copies grow with the table, so a broadcast would not last.
         wanted = members.where(F.col("length") > reach).select(F.col("label").alias("_label"))
-        texts = keep(source.join(wanted, F.col("label") == F.col("_label")).drop("_label"), "exact-texts")
+        texts = keep(source.join(wanted.hint("merge"), F.col("label") == F.col("_label")).drop("_label"), "exact-texts")
     while longest > reach:
         going = members.where(F.col("length") > reach).select(F.col("label").alias("_label"), "length", "group")
         slices = texts.select("label", F.substring("bytes", reach + 1, width).alias("digit"))
