@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
+from marlstone.llm.packing import cut_pieces, pack
 from marlstone.llm.token_files import read_token_files, write_token_files
 from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
@@ -30,7 +31,12 @@ def op10_msd_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return mark_copies(docs).select("doc_id", "copies.*")
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op4_patched_token_files, op10_msd_exact_dedup)}
+def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    return pack(cut_pieces(docs, BYTE_BPE))
+
+
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op4_patched_token_files, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
