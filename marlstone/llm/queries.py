@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
 from marlstone.llm.packing import cut_pieces, pack
+from marlstone.llm.quality_rules import judge
 from marlstone.llm.token_files import read_token_files, write_token_files
 from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
@@ -20,6 +21,12 @@ def op1_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(read_table(spark, folder, "documents", ["doc_id", "text"]), WORD_BPE)
 
 
+def op3_mcd_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = judge(read_table(spark, folder, "documents", ["doc_id", "lang", "source", "text"]))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return docs.select("doc_id", *[f"verdict.{c}" for c in [*counts, "base_failed", "kept", "distance"]])
+
+
 def op4_patched_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     write_token_files(read_table(spark, folder, "documents", ["doc_id", "text"]), BYTE_BPE, path)
@@ -36,7 +43,7 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op4_patched_token_files, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
