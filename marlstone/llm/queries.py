@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
+from marlstone.llm.minhash import near_components
 from marlstone.llm.packing import cut_pieces, pack
 from marlstone.llm.quality_rules import judge
 from marlstone.llm.token_files import read_token_files, write_token_files
@@ -38,12 +39,17 @@ def op10_msd_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return mark_copies(docs).select("doc_id", "copies.*")
 
 
+def op5_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = near_components(read_table(spark, folder, "documents", ["doc_id", "text"]))
+    return docs.select("doc_id", "near.n_shingles", "near.component_id", "near.kept")
+
+
 def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
