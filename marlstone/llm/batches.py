@@ -141,14 +141,18 @@ class HashIndex:
         return found.astype("i8")
 
 
-def span_hashes(points: np.ndarray, spans: Spans) -> np.ndarray:
-    """A 64-bit hash of the points of each span; it depends on nothing else."""
-    size = len(points) + 1
+def range_hashes(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the marks in each range ``[first, last)``; it depends on nothing else."""
+    size = len(marks) + 1
     sums = np.zeros(size, "u8")
-    np.cumsum(_point_marks()[points] * _power("up", _BASE, size)[: size - 1], out=sums[1:])
+    np.cumsum(marks * _power("up", _BASE, size)[: size - 1], out=sums[1:])
     down = _power("down", pow(_BASE, -1, 1 << 64), size)
-    value = (sums[spans.last] - sums[spans.first]) * down[spans.first]
-    return mix(value + (spans.last - spans.first).astype("u8"))
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype("u8"))
+
+
+def span_hashes(points: np.ndarray, spans: Spans) -> np.ndarray:
+    """A 64-bit hash of the points of each span."""
+    return range_hashes(_point_marks()[points], spans.first, spans.last)
 
 
 def is_space(points: np.ndarray) -> np.ndarray:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
 from marlstone.llm.minhash import near_components
 from marlstone.llm.packing import cut_pieces, pack
+from marlstone.llm.paragraphs import repeated_paragraphs
 from marlstone.llm.quality_rules import judge
 from marlstone.llm.token_files import read_token_files, write_token_files
 from marlstone.session import shared_dir
@@ -44,12 +46,21 @@ def op5_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "near.n_shingles", "near.component_id", "near.kept")
 
 
+def op8_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per paragraph of a repeated passage; documents without one do not appear."""
+    found = repeated_paragraphs(read_table(spark, folder, "documents", ["doc_id", "text"]))
+    return found.select(
+        F.col("doc.id").alias("doc_id"), F.col("number").alias("paragraph"), "start", F.col("size").alias("length"), "n_words",
+        F.col("group").alias("component"), F.col("first.id").alias("keep_id"), "kept",
+    )
+
+
 def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
