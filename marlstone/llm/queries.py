@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
+from marlstone.llm.language import fit_languages, identify
 from marlstone.llm.minhash import near_components
 from marlstone.llm.packing import cut_pieces, pack
 from marlstone.llm.paragraphs import repeated_paragraphs
 from marlstone.llm.quality_rules import judge
+from marlstone.llm.samples import id_part
 from marlstone.llm.token_files import read_token_files, write_token_files
 from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
@@ -24,6 +26,13 @@ def op1_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(read_table(spark, folder, "documents", ["doc_id", "text"]), WORD_BPE)
 
 
+def op2_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text", "lang"])
+    trees = fit_languages(docs.where(id_part("doc_id", 5) != 0))
+    found = identify(docs.select("doc_id", "text"), trees)
+    return found.select("doc_id", (id_part("doc_id", 5) == 0).alias("held_out"), "language.*")
+
+
 def op3_mcd_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = judge(read_table(spark, folder, "documents", ["doc_id", "lang", "source", "text"]))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -60,7 +69,7 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
