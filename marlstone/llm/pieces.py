@@ -35,6 +35,10 @@ def _kinds() -> np.ndarray:
     return table
 
 
+def kinds_of(points: np.ndarray) -> np.ndarray:
+    return _kinds()[points]
+
+
 def plain_lower(text: str) -> str:
     """Composed and lower-cased character by character, so without a special form for a last sigma."""
     composed = unicodedata.normalize("NFC", text)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.exact import mark_copies
+from marlstone.llm.gam import fit_quality, score_quality
 from marlstone.llm.language import fit_languages, identify
 from marlstone.llm.minhash import near_components
 from marlstone.llm.packing import cut_pieces, pack
@@ -19,6 +20,7 @@ from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+QUALITY_FROM = 0.7
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -55,6 +57,15 @@ def op5_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "near.n_shingles", "near.component_id", "near.kept")
 
 
+def op7_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    labels = read_table(spark, folder, "labels", ["doc_id", "quality"])
+    model = fit_quality(docs, labels.where(id_part("doc_id", 4) != 2))
+    held_out = (id_part("doc_id", 4) == 2).alias("held_out")
+    predicted = (F.col("quality.score") >= QUALITY_FROM).cast("int").alias("predicted")
+    return score_quality(docs, model).select("doc_id", held_out, "quality.score", predicted)
+
+
 def op8_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """One row per paragraph of a repeated passage; documents without one do not appear."""
     found = repeated_paragraphs(read_table(spark, folder, "documents", ["doc_id", "text"]))
@@ -69,7 +80,7 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op7_additive_quality, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""

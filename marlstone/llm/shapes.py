@@ -20,9 +20,12 @@ def with_measures(df: DataFrame, name: str, fields: dict[str, T.DataType], measu
     """
     df = df.drop(name)
     names = df.columns
+    spare = "_text"
+    while spare in names:
+        spare += "_"
     kind = T.StructType([T.StructField(f, k) for f, k in fields.items()])
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind), T.StructField("_text", T.StringType())])
-    rows = df.select("*", F.lit(None).cast(kind).alias(name), F.col(text_col).cast("string").alias("_text"))
+    schema = T.StructType([*df.schema.fields, T.StructField(name, kind), T.StructField(spare, T.StringType())])
+    rows = df.select("*", F.lit(None).cast(kind).alias(name), F.col(text_col).cast("string").alias(spare))
     arrow = {T.LongType(): pa.int64(), T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,7 +37,7 @@ def with_measures(df: DataFrame, name: str, fields: dict[str, T.DataType], measu
                 found = pa.StructArray.from_arrays(values, names=list(fields))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], found, pa.nulls(high - low, pa.string())], names=schema.names)
 
-    return rows.mapInArrow(run, schema).drop("_text")
+    return rows.mapInArrow(run, schema).drop(spare)
 
 
 SHAPE_FIELDS = dict.fromkeys(Shape._fields, T.LongType())
