@@ -150,9 +150,14 @@ def range_hashes(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.n
     return mix((sums[last] - sums[first]) * down[first] + (last - first).astype("u8"))
 
 
+def mark_points(points: np.ndarray) -> np.ndarray:
+    """A scattered 64-bit number for each code point."""
+    return _point_marks()[points]
+
+
 def span_hashes(points: np.ndarray, spans: Spans) -> np.ndarray:
     """A 64-bit hash of the points of each span."""
-    return range_hashes(_point_marks()[points], spans.first, spans.last)
+    return range_hashes(mark_points(points), spans.first, spans.last)
 
 
 def is_space(points: np.ndarray) -> np.ndarray:

@@ -16,11 +16,13 @@ from marlstone.llm.paragraphs import repeated_paragraphs
 from marlstone.llm.quality_rules import judge
 from marlstone.llm.samples import id_part
 from marlstone.llm.token_files import read_token_files, write_token_files
+from marlstone.llm.toxicity import fit_grammar, score_toxicity
 from marlstone.session import shared_dir
 from marlstone.sources.tables import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 QUALITY_FROM = 0.7
+TOXIC_FROM = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -57,6 +59,15 @@ def op5_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "near.n_shingles", "near.component_id", "near.kept")
 
 
+def op6_clause_grammar_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    labels = read_table(spark, folder, "labels", ["doc_id", "toxic"])
+    grammar = fit_grammar(docs, labels.where(id_part("doc_id", 4) != 2))
+    held_out = (id_part("doc_id", 4) == 2).alias("held_out")
+    predicted = (F.col("toxicity.score") >= TOXIC_FROM).cast("int").alias("predicted")
+    return score_toxicity(docs, grammar).select("doc_id", held_out, "toxicity.score", predicted)
+
+
 def op7_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     labels = read_table(spark, folder, "labels", ["doc_id", "quality"])
@@ -80,7 +91,7 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op7_additive_quality, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op6_clause_grammar_toxicity, op7_additive_quality, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
