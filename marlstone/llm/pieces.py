@@ -74,7 +74,7 @@ def cut(texts: Texts, joined: bool) -> Spans:
     solid = kinds != SPACE
     blank_before = np.zeros(size, bool)
     blank_before[1:] = (points[:-1] == 0x20) & ~edge[1:-1]
-    apostrophe = np.flatnonzero((points == 0x27) & change & ~(blank_before if joined else False))
+    apostrophe = np.flatnonzero((points == 0x27) & change & ~(blank_before & joined))
     if joined:
         # The last of several white characters before a solid one is cut off; a blank then joins what follows.
         opens = np.flatnonzero(change & solid)
