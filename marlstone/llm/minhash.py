@@ -8,8 +8,8 @@ in an order fixed for all texts, so a register agrees with the probability of th
 2. Classes that agree in all registers of a band meet. Each meets the band's smallest class first: the pair's similarity is
    estimated from the registers, corrected for accidental agreement, and pairs not clearly below the threshold are verified exactly.
 3. Components of the verified links. Bands whose classes now lie in one component are done. In the others, classes of different
-   components are compared register by register inside the task, in blocks of ``BLOCK_ROWS``, and those not clearly below the
-   threshold are verified as well. Links inside a component need no further check, so copies never become pairs.
+   components are compared inside a task on their full sets, all of a band with all, in blocks where there are many. Links inside a component
+   need no further check and only links that connect are given back, so copies never become pairs.
 4. Components of all links. A component's id is the smallest document id in it.
 
 With 32 bands of four registers a pair at similarity 0.75 fails to meet with a probability of about 5e-6. A pair is clearly below the threshold
@@ -25,7 +25,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +32,7 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import Spans, Texts, flatten, lower_ascii, mix, shingles, span_hashes, words
 from marlstone.llm.components import components
+from marlstone.llm.jaccard import SIMILARITY, link_groups, similar
 from marlstone.llm.shapes import with_measures
 from marlstone.llm.storage import keep, row_label
 
@@ -41,8 +41,6 @@ REGISTERS = 1 << REGISTER_BITS
 MANTISSA = 9
 BAND = 4
 SURE = 4.5
-BLOCK_ROWS = 1000
-SIMILARITY = (75, 100)
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -164,22 +162,23 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return sized.select("a", "b", "ra", "rb", F.least("na", "nb").alias("n")).mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, representatives: DataFrame, tag: str) -> DataFrame:
-    """The pairs ``a, b`` of classes with a Jaccard similarity of 0.75 or more, on full sets.
+def _sets(docs: DataFrame, representatives: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``class, members`` of the wanted classes, from the texts of their representatives.
 
     ``docs`` has ``doc`` (a row label) and ``text``; ``representatives`` names one row per class.
     """
-    pairs = keep(pairs.distinct(), f"{tag}-pairs")
-    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    rows = keep(wanted.join(representatives, "class").select(F.col("doc").alias("_doc")), f"{tag}-wanted")
+    rows = keep(wanted.join(representatives, "class").select(F.col("doc").alias("_doc")), "near-wanted")
     texts = docs.join(rows.hint("merge"), F.col("doc") == F.col("_doc")).select("text")
     sets = with_measures(texts, "set", {"class": T.BinaryType(), "members": T.BinaryType()}, _measure_set)
     # Repeated rows have the same label and the same set.
-    sets = keep(sets.select("set.*").dropDuplicates(["class"]), f"{tag}-sets")
+    return keep(sets.select("set.*"), "near-sets").dropDuplicates(["class"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of classes with a Jaccard similarity of 0.75 or more, on full sets."""
     side = lambda s: sets.select(F.col("class").alias(s), F.col("members").alias(f"m{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ma", "mb")
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
-    low, high = SIMILARITY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,46 +187,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, representatives: DataFrame, tag
                 left, right = (np.frombuffer(batch.column(c)[i].as_buffer(), "<u8") for c in (2, 3))
                 # Sets are sorted: members of one found in the other.
                 place = np.minimum(np.searchsorted(left, right), len(left) - 1)
-                common = int((left[place] == right).sum())
-                if high * common >= low * (len(left) + len(right) - common):
+                if similar(int((left[place] == right).sum()), len(left), len(right)):
                     chosen.append(i)
             chosen = pa.array(chosen, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], names=schema.names)
 
-    return keep(both.mapInArrow(run, schema), f"{tag}-verified")
-
-
-def _across(bands: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Plausible pairs of classes in one band but different components.
-
-    ``bands`` has ``key, class, root``. A band with more than ``BLOCK_ROWS`` classes is cut into blocks, and each pair of
-    blocks is a group of its own, so a group never has more than about twice that many rows.
-    """
-    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    rows = bands.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("key", "class", "root", "mine", other)
-    rows = rows.select("key", "class", "root", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    rows = rows.join(classes.select("class", "registers", "n_shingles"), "class")
-    schema = "a binary, b binary"
-    low, high = SIMILARITY
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        registers = np.frombuffer(b"".join(group.registers), "u2").reshape(-1, REGISTERS)
-        n, mine, root = group.n_shingles.to_numpy(), group.mine.to_numpy(), pd.factorize(group.root)[0]
-        i, j = int(group.i.iloc[0]), int(group.j.iloc[0])
-        a, b = [], []
-        for k in np.flatnonzero(mine == i).tolist():
-            against = np.flatnonzero((mine == j) & (root != root[k]) & ((np.arange(len(n)) > k) if i == j else True))
-            small, large = np.minimum(n[k], n[against]), np.maximum(n[k], n[against])
-            against, small = against[high * small >= low * large], small[high * small >= low * large]
-            alike = estimate((registers[against] == registers[k]).sum(axis=1)) >= lowest_estimate(small, threshold)
-            a += [group["class"].iloc[k]] * int(alike.sum())
-            b += group["class"].iloc[against[alike]].tolist()
-        return pd.DataFrame({"a": [min(x, y) for x, y in zip(a, b, strict=True)], "b": [max(x, y) for x, y in zip(a, b, strict=True)]})
-
-    return rows.groupBy("key", "i", "j").applyInPandas(run, schema)
+    return both.mapInArrow(run, schema)
 
 
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,17 +212,16 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bands = _explode_bands(classes)
     leaders = bands.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1").select("key", "leader")
     met = keep(bands.join(leaders, "key").select("key", "class", "leader"), "near-bands")
+    sets = _sets(labelled, representatives, met.select("class").distinct())
     stars = met.where(F.col("class") != F.col("leader")).select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
-    links = _verified(_plausible(stars, classes, threshold), labelled, representatives, "near-stars")
+    links = keep(_verified(_plausible(stars, classes, threshold), sets), "near-links")
     roots = components(links, "near-first")
     # Bands that still hold several components.
     rooted = met.select("key", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    rooted = rooted.select("key", "class", F.coalesce("root", "class").alias("root"))
+    rooted = rooted.select("key", F.col("class").alias("node"), F.coalesce("root", "class").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    rest = keep(rooted.join(mixed, "key"), "near-mixed")
-    more = _verified(_across(rest, classes, threshold), labelled, representatives, "near-across")
-    every = links.unionByName(more)
-    roots = components(every, "near-all")
+    rest = rooted.join(mixed, "key").join(sets.withColumnRenamed("class", "node"), "node")
+    roots = components(links.unionByName(keep(link_groups(rest), "near-more")), "near-all")
     grouped = representatives.join(roots.withColumnRenamed("node", "class"), "class", "left")
     grouped = grouped.select("class", F.coalesce("root", "class").alias("root"), "doc")
     chosen = grouped.groupBy("root").agg(F.min("doc").alias("chosen"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.llm import minhash
+from marlstone.llm import jaccard
 from marlstone.llm.components import components
 from marlstone.llm.minhash import drop_near_copies, estimate, near_components, sketch
 from tests.llm.helpers import near_roots, shingle_set, table
@@ -40,7 +40,7 @@ def expected(rows):
 
 @pytest.mark.parametrize("block", [1000, 2])
 def test_components_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
     rows = [(1000 - i, t) for i, t in enumerate(near_texts(block))]
     rows += [(None, rows[0][1]), (None, "only here without id nine words long it is")]
     found = near_components(table(spark, rows)).select("doc_id", "near.n_shingles", "near.component_id", "near.kept").collect()
