@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_ROWS = 1000
 BLOCK_MEMBERS = 1_000_000
@@ -33,30 +37,74 @@ def link_groups(rows: DataFrame) -> DataFrame:
     dealt = rows.join(totals, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", "node", "root", "members", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    kind = rows.schema["node"].dataType.simpleString()
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(m, "<u8") for m in group.members]
-        sizes = np.array([len(s) for s in sets])
-        starts = np.cumsum(sizes) - sizes
-        _, places = np.unique(np.concatenate(sets), return_inverse=True)
-        part, mine = pd.factorize(group.root)[0], group.mine.to_numpy()
-        first, second = int(group.i.iloc[0]), int(group.j.iloc[0])
-        marked = np.zeros(len(places), bool)
-        a, b = [], []
-        for k in np.flatnonzero(mine == first).tolist():
-            against = (mine == second) & (part != part[k])
-            if not against.any():
+    # One pass over sorted rows handles many small groups per batch, which a call per group would not.
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    kind = rows.schema["node"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in chain(batches, [None]):
+            table = held if batch is None else pa.concat_tables([held, pa.table(batch)]) if held is not None else pa.table(batch)
+            if table is None or not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+            # The last group may go on in the next batch.
+            done = table.num_rows if batch is None else int(starts[-1])
+            held = None if batch is None else table.slice(done)
+            bounds = np.unique(np.append(starts[starts <= done], done))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind_of(kind)) for c in _links(table.slice(0, done), bounds, keys)], names=schema.names
+            )
+
+    return dealt.mapInArrow(run, schema)
+
+
+def kind_of(kind: T.DataType) -> pa.DataType:
+    return pa.int64() if isinstance(kind, T.LongType) else pa.binary()
+
+
+def _links(table: pa.Table, bounds: np.ndarray, keys: np.ndarray) -> tuple[list, list]:
+    """Connecting links of the groups between neighbouring bounds."""
+    node, root, members = (table.column(c).to_pylist() for c in ("node", "root", "members"))
+    mine = table.column("mine").to_numpy()
+    a, b = [], []
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if high - low < 2:
+            continue
+        sets = [np.frombuffer(m, "<u8") for m in members[low:high]]
+        if high - low == 2:
+            left, right = sets
+            if root[low] != root[low + 1] and keys[1, low] == keys[2, low]:
+                place = np.minimum(np.searchsorted(left, right), len(left) - 1)
+                if similar(int((left[place] == right).sum()), len(left), len(right)):
+                    a.append(node[low])
+                    b.append(node[low + 1])
                 continue
-            own = places[starts[k] : starts[k] + sizes[k]]
-            marked[own] = True
-            common = np.add.reduceat(marked[places], starts, dtype="i8")
-            marked[own] = False
-            for m in np.flatnonzero(against & similar(common, sizes, sizes[k])).tolist():
-                if part[m] != part[k]:
-                    part[part == part[m]] = part[k]
-                    a.append(group.node.iloc[k])
-                    b.append(group.node.iloc[m])
-        return pd.DataFrame({"a": pd.Series(a, dtype=group.node.dtype), "b": pd.Series(b, dtype=group.node.dtype)})
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(run, f"a {kind}, b {kind}")
+        for k, m in _connect(sets, root[low:high], mine[low:high], int(keys[1, low]), int(keys[2, low])):
+            a.append(node[low + k])
+            b.append(node[low + m])
+    return a, b
+
+
+def _connect(sets: list[np.ndarray], root: list, mine: np.ndarray, first: int, second: int) -> Iterator[tuple[int, int]]:
+    """Pairs of one block with another (or itself) that are similar and connect what was not connected."""
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    _, places = np.unique(np.concatenate(sets), return_inverse=True)
+    numbers: dict = {}
+    part = np.array([numbers.setdefault(r, len(numbers)) for r in root])
+    marked = np.zeros(len(places), bool)
+    for k in np.flatnonzero(mine == first).tolist():
+        against = (mine == second) & (part != part[k])
+        if not against.any():
+            continue
+        own = places[starts[k] : starts[k] + sizes[k]]
+        marked[own] = True
+        common = np.add.reduceat(marked[places], starts, dtype="i8")
+        marked[own] = False
+        for m in np.flatnonzero(against & similar(common, sizes, sizes[k])).tolist():
+            if part[m] != part[k]:
+                part[part == part[m]] = part[k]
+                yield k, m
