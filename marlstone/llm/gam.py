@@ -149,7 +149,7 @@ class AdditiveModel:
 
     @staticmethod
     def _cuts(values: np.ndarray, bins: int) -> np.ndarray:
-        """Middles between neighbouring values at the quantiles; rare values keep a bin of their own at the ends."""
+        """Middles between neighbouring values at the quantiles of all values and of those that are not 0."""
         known = np.unique(values)
         if len(known) < 2:
             return np.zeros(0)
@@ -157,7 +157,8 @@ class AdditiveModel:
         shares = np.arange(1, bins) / bins
         wanted = np.quantile(values, shares)
         if len(nonzero):
-            wanted = np.concatenate([wanted[: bins // 2 * 2 : 2], np.quantile(nonzero, shares[::2])])
+            # Where most values are 0, quantiles of the others tell them apart.
+            wanted = np.concatenate([wanted, np.quantile(nonzero, shares)])
         at = np.searchsorted(known, np.unique(wanted))
         at = np.unique(np.clip(at, 1, len(known) - 1))
         return (known[at - 1] + known[at]) / 2
