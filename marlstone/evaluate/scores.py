@@ -149,14 +149,14 @@ def threshold_report(df: DataFrame, y: str, score: str, thresholds: Sequence[flo
 def lift(df: DataFrame, key: str, y: str, score: str, bands: int = 10) -> DataFrame:
     """Rows, positives, rate and lift per score band, the highest scores in band 1.
 
-    Bands hold equal numbers of rows. Tied rows are put in the order of their key number, then key. Rows are
+    Bands hold equal numbers of rows. Tied rows are put in the order of their key number (0 for a null key), then key. Rows are
     counted per (score, leading bits of the key number); a count that lies inside one band is
     finished, and only the few that cross a band's end have their rows put in order.
     """
     known = df.where(F.col(y).isNotNull() & present(F.col(score).cast("double")))
     rows = known.select(
         F.col(key).alias("key"), F.col(y).cast("bigint").alias("y"), F.col(score).cast("double").alias("score")
-    ).withColumn("number", key_number("key"))
+    ).withColumn("number", F.coalesce(key_number("key"), F.lit(0)))
     rows = rows.withColumn("tie", F.shiftright("number", KEY_NUMBER_BITS - TIE_BITS))
     counts = rows.groupBy("score", "tie").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     edges = block_edges(known, [score])

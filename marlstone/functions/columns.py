@@ -52,8 +52,8 @@ def divide(numerator: Column, denominator: Column, empty: Column | None = None)
 
 
 def words(text: str | Column) -> Column:
-    """Lower-case runs of the letters a to z, in reading order."""
-    parts = F.split(F.lower(as_column(text)), "[^a-z]+")
+    """Lower-case runs of letters of any script, in reading order."""
+    parts = F.split(F.lower(as_column(text)), "[^\\p{L}]+")
     return F.filter(parts, lambda word: word != "")
 
 

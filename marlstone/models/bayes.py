@@ -8,7 +8,7 @@ from math import log
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import join_on
+from marlstone.functions.columns import join_on, words
 from marlstone.operators.text import bag_of_words
 
 MAX_CLASSES = 200
@@ -40,7 +40,7 @@ def fit_bayes(train: DataFrame, key: str, text: str, y: str) -> BayesModel:
     sizes = sorted((r["_class"], r["n"]) for r in sizes)
     classes = tuple(c for c, _ in sizes)
     texts = sum(n for _, n in sizes)
-    terms = known.select("_class", F.explode(F.split(F.lower(text), "[^a-z]+")).alias("term")).where("term != ''")
+    terms = known.select("_class", F.explode(words(text)).alias("term"))
     counts = terms.groupBy("term").agg(
         *[F.count(F.when(F.col("_class") == c, 1)).alias(f"n_{i}") for i, c in enumerate(classes)]
     ).persist()

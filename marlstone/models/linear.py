@@ -39,10 +39,10 @@ def apply_line(df: DataFrame, lines: DataFrame, x: str, by: Sequence[str] = (),
 def fit_linear(train: DataFrame, features: Sequence[str], y: str, penalty: float = 0.0) -> PipelineModel:
     """Least squares on several columns by the normal equations: one pass, one small matrix to the driver."""
     stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         LinearRegression(labelCol=y, regParam=penalty, solver="normal"),
     ]
-    return Pipeline(stages=stages).fit(train.select(*features, y))
+    return Pipeline(stages=stages).fit(train.select(*features, y).dropna())
 
 
 def fit_logistic(
@@ -53,10 +53,10 @@ def fit_logistic(
         model = LogisticRegression(featuresCol=features, labelCol=y, regParam=penalty, maxIter=rounds)
         return Pipeline(stages=[model]).fit(train)
     stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         LogisticRegression(labelCol=y, regParam=penalty, maxIter=rounds),
     ]
-    data = train.select(*features, y).persist()  # read once per round otherwise
+    data = train.select(*features, y).dropna().persist()  # read once per round otherwise
     try:
         return Pipeline(stages=stages).fit(data)
     finally:

@@ -64,9 +64,9 @@ def fit_tree(train: DataFrame, features: Sequence[str], y: str, kind: str = "tre
     models = {"tree": DecisionTreeClassifier, "forest": RandomForestClassifier, "boosted": GBTClassifier}
     if kind not in models:
         raise ValueError(f"unknown kind {kind!r}")
-    data = train.select(*features, F.col(y).cast("double").alias("label")).where("label is not null").persist()
+    data = train.select(*features, F.col(y).cast("double").alias("label")).dropna().persist()
     stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         models[kind](seed=seed, **options),
     ]
     try:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import as_column, join_on, join_small
+from marlstone.functions.columns import as_column, divide, join_on, join_small, nan_as_null
 
 MAX_ONE_HOT = 10_000
 
@@ -48,10 +48,11 @@ def apply_index(df: DataFrame, index: DataFrame, column: str, one_hot: bool = Tr
 def fit_target_encode(train: DataFrame, column: str, y: str, fold: str, smoothing: float) -> DataFrame:
     """Encodings per (category, fold), each from the rows of the other folds.
 
-    (sum + m * prior) / (count + m), where the prior is the mean of y over the other folds. Only
-    category counts are compared, never the rows of a category.
+    (sum + m * prior) / (count + m), where the prior is the mean of y over the other folds; the prior itself where
+    that divides by zero. A NaN target counts as missing. Only category counts are compared, never the rows of a category.
     """
-    folds = train.groupBy(column, fold).agg(F.sum(F.col(y).cast("double")).alias("s"), F.count(y).alias("n")).persist()
+    target = nan_as_null(y)
+    folds = train.groupBy(column, fold).agg(F.sum(target).alias("s"), F.count(target).alias("n")).persist()
     whole = folds.groupBy(column).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
     per_fold = folds.groupBy(fold).agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
     rows = {r[fold]: (r["s"] or 0.0, r["n"]) for r in per_fold}  # as many as folds
@@ -65,9 +66,8 @@ def fit_target_encode(train: DataFrame, column: str, y: str, fold: str, smoothin
     return others.select(
         column,
         fold,
-        (
-            (F.coalesce("all_s", F.lit(0.0)) - F.coalesce("s", F.lit(0.0)) + m * prior)
-            / (F.col("all_n") - F.col("n") + m)
+        divide(
+            F.coalesce("all_s", F.lit(0.0)) - F.coalesce("s", F.lit(0.0)) + m * prior, F.col("all_n") - F.col("n") + m, prior
         ).alias(f"{column}_encoded"),
     )
 

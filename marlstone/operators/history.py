@@ -16,7 +16,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import from_micros, micros
+from marlstone.functions.columns import from_micros, micros, nan_as_null
 
 SECOND = 1_000_000
 DAY = 86_400 * SECOND
@@ -75,7 +75,7 @@ def rolling(
     are put together from slices, of which a span has enough to keep each below ``window_rows``.
     """
     span = span_seconds * SECOND
-    values = df.where(F.col(ts).isNotNull()).select(F.col(key), micros(ts).alias("t"), F.col(value).cast("double").alias("v"))
+    values = df.where(F.col(ts).isNotNull()).select(F.col(key), micros(ts).alias("t"), nan_as_null(value).alias("v"))
 
     def combined(rows):
         return rows.groupBy(key, "t").agg(
@@ -234,7 +234,7 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | No
     number from 1, its start, end, events, length in seconds and, with ``value``, the sum.
     """
     gap = gap_seconds * SECOND
-    amount = F.col(value).cast("double") if value else F.lit(0.0)
+    amount = nan_as_null(value) if value else F.lit(0.0)
     stretches = (
         df.where(F.col(ts).isNotNull())
         .select(key, micros(ts).alias("t"), amount.alias("v"))
@@ -334,7 +334,7 @@ def entity_aggregate(df: DataFrame, key: str, ts: str, value: str, as_of: str) -
     """
     limit = F.lit(as_of).cast("timestamp_ntz")
     past = F.col(ts) < limit
-    amount = F.when(past, F.col(value).cast("double"))
+    amount = F.when(past, nan_as_null(value))
     recent = (F.col(ts) >= F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL '365' DAY")) & past
     return df.groupBy(key).agg(
         F.count(F.when(past, 1)).alias("n"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from marlstone.functions.columns import join_on, nan_as_null
 from marlstone.operators.blocks import add_blocks, block_edges
 
-SMALL_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
@@ -19,18 +18,15 @@ def quantiles(
     columns: Sequence[str],
     shares: Sequence[float],
     by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
     blocks: int | None = None,
 ) -> DataFrame:
     """Rows (by, column, share, value): the linearly interpolated quantile of each column.
 
-    Nulls and NaN are left out. Up to ``small_rows`` rows, counted first, ``percentile`` does it in
-    one aggregate. Beyond that, block counts tell which blocks hold the wanted ranks, and only the
-    distinct values of those blocks are shuffled and sorted, each block in its own partition.
+    Nulls and NaN are left out. Block counts tell which blocks hold the wanted ranks, and only the
+    distinct values of those blocks are shuffled and sorted, each block in its own partition. Tables of any size take this
+    way, and the values are those of Spark's ``percentile`` to the last bit.
     """
     data = df.select(*by, *[nan_as_null(c).alias(c) for c in columns])
-    if data.count() <= small_rows:
-        return _by_percentile(data, columns, shares, by)
     return _by_blocks(data, columns, shares, by, blocks)
 
 
@@ -42,18 +38,6 @@ def quantile_values(
     return {(r["column"], r["share"]): r["value"] for r in rows}
 
 
-def _by_percentile(data, columns, shares, by):
-    wanted = F.array(*[F.lit(float(s)) for s in shares])
-    found = data.groupBy(*by).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
-    per_column = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.arrays_zip(wanted.alias("share"), F.col(c).alias("value")).alias("q")) for c in columns]
-    )
-    one = found.select(*by, F.explode(per_column).alias("c"))
-    return one.select(*by, F.col("c.column").alias("column"), F.explode("c.q").alias("q")).select(
-        *by, "column", F.col("q.share").alias("share"), F.col("q.value").alias("value")
-    )
-
-
 def _by_blocks(data, columns, shares, by, blocks):
     edges = block_edges(data, columns, blocks)
     marks = [f"_block_{i}" for i in range(len(columns))]
@@ -102,5 +86,7 @@ def _by_blocks(data, columns, shares, by, blocks):
     )
     low = F.max(F.when(F.col("rank") == F.floor("place"), F.col("x")))
     high = F.max(F.when(F.col("rank") == F.ceil("place"), F.col("x")))
-    weight = F.max(F.col("place") - F.floor("place"))
-    return picked.groupBy(*keys, "share").agg((low * (1 - weight) + high * weight).alias("value"))
+    ends = picked.groupBy(*keys, "share").agg(low.alias("low"), high.alias("high"), F.max("place").alias("place"))
+    between = (F.ceil("place") - F.col("place")) * F.col("low") + (F.col("place") - F.floor("place")) * F.col("high")
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between)
+    return ends.select(*keys, "share", value.alias("value"))

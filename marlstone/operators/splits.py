@@ -73,10 +73,10 @@ def downsample(df: DataFrame, key: str, label: str, shares: dict) -> DataFrame:
     """Keep, per class, the rows whose key number falls below the class's share of the range.
 
     A sampling operator: classes not named in ``shares`` are kept whole. A row's fate depends on its
-    key and class only.
+    key and class only; a null key has the number 0, so it stays wherever a class keeps anything.
     """
     limit = F.lit(float(2**KEY_NUMBER_BITS))
     for value, share in shares.items():
         limit = F.when(F.col(label) == value, F.lit(share * 2**KEY_NUMBER_BITS)).otherwise(limit)
-    return df.where(key_number(key) < limit)
+    return df.where(F.coalesce(key_number(key), F.lit(0)) < limit)
 

@@ -9,7 +9,7 @@ from marlstone.functions.columns import ngrams
 
 
 def bag_of_words(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
-    """Rows (key, term, tf): how often each n-gram of lower-case a-z words occurs in the whole text.
+    """Rows (key, term, tf): how often each n-gram of lower-case words occurs in the whole text.
 
     The counts are complete in the map task that read the text, so the shuffle moves one row per
     distinct term of a text.

@@ -70,7 +70,7 @@ select l_returnflag, 'l_quantity', [0.1, 0.5, 0.99][i]::double, round(k[i], 4) f
 def quantiles_by_flag_lineitem(spark, folder):
     """The block form of exact quantiles, whatever the size of the table."""
     lines = read_table(spark, folder, "lineitem", ["l_returnflag", "l_extendedprice", "l_quantity"])
-    found = quantiles(lines, ["l_extendedprice", "l_quantity"], [0.1, 0.5, 0.99], ["l_returnflag"], small_rows=0)
+    found = quantiles(lines, ["l_extendedprice", "l_quantity"], [0.1, 0.5, 0.99], ["l_returnflag"])
     return rounded(found, 4, ["value"])
 
 

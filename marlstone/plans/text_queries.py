@@ -5,7 +5,7 @@ from marlstone.operators.text import bag_of_words, tfidf
 from marlstone.plans.registry import query
 from marlstone.sources.tables import read_table, spread
 
-WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')"
+WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda w: w <> '')"
 
 
 def documents(spark, folder):

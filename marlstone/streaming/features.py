@@ -14,6 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions.columns import nan_as_null, present
 from marlstone.models.scoring import batch_score
 from marlstone.operators.profile import stability_of
 from marlstone.operators.scale import apply_bins
@@ -29,13 +30,14 @@ def window_features(
     df: DataFrame, key: Sequence[str], ts: str, value: str, width: str, late: str, slide: str | None = None
 ) -> DataFrame:
     """Count, sum, mean, minimum and maximum per key and tumbling or sliding window."""
+    amount = nan_as_null(value)
     window = F.window(ts, width, slide) if slide else F.window(ts, width)
     sums = _timed(df, ts, late).groupBy(window, *key).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(value).alias("total"),
-        F.avg(value).alias("mean"),
-        F.min(value).alias("smallest"),
-        F.max(value).alias("largest"),
+        F.sum(amount).alias("total"),
+        F.avg(amount).alias("mean"),
+        F.min(amount).alias("smallest"),
+        F.max(amount).alias("largest"),
     )
     return sums.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
@@ -52,7 +54,7 @@ def window_features(
 def session_features(df: DataFrame, key: Sequence[str], ts: str, value: str, gap: str, late: str) -> DataFrame:
     """Start, last event, events and sum per key and session; a session ends with a pause above the gap."""
     sums = _timed(df, ts, late).groupBy(F.session_window(ts, gap), *key).agg(
-        F.max(ts).alias("last"), F.count(F.lit(1)).alias("events"), F.sum(value).alias("total")
+        F.max(ts).alias("last"), F.count(F.lit(1)).alias("events"), F.sum(nan_as_null(value)).alias("total")
     )
     return sums.select(
         *key,
@@ -71,7 +73,7 @@ def drift_features(
     The bins are counted next to each other, so a window is one state row per task and the index is a
     projection of the closed window.
     """
-    marked = apply_bins(df.where(F.col(value).isNotNull()), value, edges, "_bin")
+    marked = apply_bins(df.where(present(F.col(value).cast("double"))), value, edges, "_bin")
     counts = _timed(marked, ts, late).groupBy(F.window(ts, width)).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count(F.when(F.col("_bin") == i, 1)).alias(f"_n{i}") for i in range(len(shares))],

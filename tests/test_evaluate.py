@@ -167,3 +167,9 @@ def test_cluster_report(spark):
 def test_silhouette_of_far_clusters(spark):
     rows = [([0.0, 0.1 * i], 0) for i in range(5)] + [([50.0, 0.1 * i], 1) for i in range(5)]
     assert silhouette(spark.createDataFrame(rows, "v array<double>, c int"), "v", "c") > 0.99
+
+
+def test_lift_keeps_null_keys(spark):
+    rows = [(None if i % 2 else i, i % 3 == 0, 0.5) for i in range(20)]
+    df = spark.createDataFrame([(k, int(y), s) for k, y, s in rows], "id long, y int, score double")
+    assert [r.n for r in scores.lift(df, "id", "y", "score", 4).orderBy("band").collect()] == [5, 5, 5, 5]

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.operators.history import asof, busiest, calendar, entity_aggregate, lags, rolling, sessions
 
@@ -136,3 +137,13 @@ def test_calendar(spark):
     df = spark.sql("select timestamp_ntz'2021-01-03 23:30:00' as ts")  # a Sunday in ISO week 53 of 2020
     r = calendar(df, "ts").first()
     assert (r["year"], r["quarter"], r["month"], r["day"], r["isodow"], r["isoweek"], r["hour"]) == (2021, 1, 1, 3, 7, 53, 23)
+
+
+def test_a_nan_counts_as_missing(spark):
+    rows = [("k", f"2024-01-01 00:0{i}:00", v) for i, v in enumerate([1.0, float("nan"), 3.0, None, 5.0])]
+    df = spark.createDataFrame(rows, "k string, t string, v double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    past = {r.t.minute: r for r in rolling(df, "k", "t", "v", 3600).collect()}
+    assert (past[4].past_count, past[4].past_sum, past[4].past_mean, past[4].past_max) == (2, 4.0, 2.0, 3.0)
+    assert sessions(df, "k", "t", 600, "v").first().v_sum == 9.0
+    row = entity_aggregate(df, "k", "t", "v", "2025-01-01").first()
+    assert (row.total, row["mean"], row.largest) == (9.0, 3.0, 5.0)

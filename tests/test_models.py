@@ -189,3 +189,13 @@ def test_line_without_spread(spark):
     assert fit_line(df.limit(0), "x", "y").first()["slope"] is None
     flat = fit_line(df.select("x", F.lit(3.0).alias("y")).withColumn("x", F.monotonically_increasing_id().cast("double")), "x", "y").first()
     assert flat["slope"] == 0.0 and flat["intercept"] == 3.0
+
+
+def test_scoring_keeps_rows_with_gaps(spark):
+    rows = [(i, float(i), float(i % 7), float(i % 2)) for i in range(40)] + [(40, None, 1.0, 1.0), (41, float("nan"), 1.0, 0.0), (42, 3.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    for model in (fit_linear(df, ["a", "b"], "y"), fit_logistic(df, ["a", "b"], "y"), fit_tree(df, ["a", "b"], "y", maxDepth=2)):
+        found = {r.id: r for r in batch_score(df, model, ["id"]).collect()}
+        assert len(found) == 43 and found[42].pred is not None
+        assert all((found[i].pred is None) == (i in (40, 41)) for i in found)
+        assert all(found[40][c] is None for c in found[40].asDict() if c != "id")

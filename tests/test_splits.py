@@ -67,11 +67,16 @@ def test_downsample_keeps_other_classes_and_is_stable(spark):
     assert sorted(r["id"] for r in kept.where("y = 1").collect()) == expected
 
 
+def test_words_keep_letters_of_any_script(spark):
+    df = spark.createDataFrame([("Für die größte Straße, mañana été 日本語 x2y",)], "t string")
+    assert df.select(words("t").alias("w")).first().w == ["für", "die", "größte", "straße", "mañana", "été", "日本語", "x", "y"]
+
+
 def test_words_and_ngrams(spark):
     df = spark.createDataFrame([("One two,  TWO é three",), ("",), ("x",), (None,)], "t string")
     got = df.select(words("t").alias("w"), ngrams("t", 2).alias("g")).collect()
-    assert got[0]["w"] == ["one", "two", "two", "three"]
-    assert got[0]["g"] == ["one two", "two two", "two three"]
+    assert got[0]["w"] == ["one", "two", "two", "é", "three"]
+    assert got[0]["g"] == ["one two", "two two", "two é", "é three"]
     assert got[1]["w"] == [] and got[1]["g"] == [] and got[2]["g"] == [] and got[3]["w"] is None
 
 
@@ -80,3 +85,9 @@ def test_join_on_matches_nulls(spark):
     right = spark.createDataFrame([(1, "x"), (None, "y")], "k int, r string")
     got = rows_of(join_on(left, right, ["k"], "left"), "l", "r")
     assert got == [("a", "x"), ("b", "y"), ("c", None)]
+
+
+def test_downsample_keeps_null_keys_of_whole_classes(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "a")], "id long, label string")
+    kept = downsample(df, "id", "label", {"b": 0.0})
+    assert kept.where("label = 'a'").count() == 2 and kept.where("label = 'b'").count() == 0
