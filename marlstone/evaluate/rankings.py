@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.columns import divide, join_on
+from marlstone.functions.columns import divide, join_on, whole_vector
 
 
 def ranking_report(df: DataFrame, query: str, item: str, score: str, relevant: str, k: int) -> DataFrame:
@@ -82,5 +82,6 @@ def cluster_report(df: DataFrame, cluster: str, label: str) -> DataFrame:
 
 def silhouette(df: DataFrame, vector: str, cluster: str) -> float:
     """Mean silhouette with squared Euclidean distance; MLlib needs one pass over cluster sums."""
-    data = df.select(array_to_vector(vector).alias("features"), F.col(cluster).cast("double").alias("prediction"))
+    known = df.where(whole_vector(vector) & F.col(cluster).isNotNull())
+    data = known.select(array_to_vector(vector).alias("features"), F.col(cluster).cast("double").alias("prediction"))
     return ClusteringEvaluator().evaluate(data)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY_NUMBER_BITS = 28
+EPOCH = "1970-01-01 00:00:00"
 SMALL_TABLE_ROWS = 100_000
 
 
@@ -26,12 +27,24 @@ def key_number(value: str | Column) -> Column:
 
 
 def micros(value: str | Column) -> Column:
-    """Microseconds since 1970 as a bigint; the session zone is expected to be UTC."""
-    return F.unix_micros(as_column(value).cast("timestamp"))
+    """Microseconds of a wall time since the start of 1970 as a bigint, in any session zone."""
+    since = as_column(value).cast("timestamp_ntz") - F.lit(EPOCH).cast("timestamp_ntz")
+    part = lambda field: F.extract(F.lit(field), since)
+    minutes = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes.cast("bigint") * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
 
 
 def from_micros(value: str | Column) -> Column:
-    return F.timestamp_micros(as_column(value)).cast("timestamp_ntz")
+    """The wall time of ``micros``."""
+    zero = F.lit(0)
+    seconds = (as_column(value).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
+def whole_vector(value: str | Column) -> Column:
+    """True where an array of numbers is there and holds no null or NaN."""
+    value = as_column(value)
+    return F.coalesce(value.isNotNull() & ~F.exists(value, lambda x: x.isNull() | F.isnan(x.cast("double"))), F.lit(False))
 
 
 def present(value: str | Column) -> Column:

@@ -15,6 +15,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.functions.columns import whole_vector
+
 # Python workers get the helpers below with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,19 +41,25 @@ def fit_centroids(train: DataFrame, vector: str, label: str) -> list[tuple[objec
 
 
 def assign_nearest(df: DataFrame, centroids: list[tuple[object, list[float]]], vector: str, out: str = "pred") -> DataFrame:
-    """Add the label of the nearest centroid (ties to the first) and ``<out>_distance``, its squared distance."""
+    """Add the label of the nearest centroid (ties to the first) and ``<out>_distance``, its squared distance.
+
+    A vector that is null or holds a null or NaN gets neither.
+    """
     matrix = np.array([mean for _, mean in centroids], dtype="float64")
 
     @F.pandas_udf("struct<place:int,distance:double>")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
         place = np.full(len(vectors), -1, dtype="int32")
         distance = np.full(len(vectors), np.nan)
-        held = vectors.notna().to_numpy()
+        held = np.array([v is not None and not np.isnan(np.asarray(v, "float64")).any() for v in vectors], bool)
         if held.any():
             points = np.stack(vectors[held].to_list()).astype("float64")
-            gaps = np.stack([((points - centre) ** 2).sum(axis=1) for centre in matrix], axis=1)
-            place[held] = gaps.argmin(axis=1)
-            distance[held] = gaps.min(axis=1)
+            nearest_yet, best = np.zeros(len(points), "int32"), np.full(len(points), np.inf)
+            for i, centre in enumerate(matrix):
+                gap = ((points - centre) ** 2).sum(axis=1)
+                closer = gap < best
+                nearest_yet[closer], best[closer] = i, gap[closer]
+            place[held], distance[held] = nearest_yet, best
         return pd.DataFrame({"place": place, "distance": distance})
 
     names = F.array(*[F.lit(label) for label, _ in centroids])
@@ -65,7 +73,7 @@ def assign_nearest(df: DataFrame, centroids: list[tuple[object, list[float]]], v
 
 def kmeans_step(df: DataFrame, centroids: list[tuple[object, list[float]]], vector: str) -> DataFrame:
     """One assign-and-update step: rows (cluster, n, cost, mean) of the clusters that got a point."""
-    marked = assign_nearest(df.where(F.col(vector).isNotNull()), centroids, vector, "cluster")
+    marked = assign_nearest(df.where(whole_vector(vector)), centroids, vector, "cluster")
     return marked.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("cluster_distance").alias("cost"),
@@ -75,7 +83,7 @@ def kmeans_step(df: DataFrame, centroids: list[tuple[object, list[float]]], vect
 
 def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = 7, rounds: int = 20) -> KMeansModel:
     """MLlib k-means (scalable initialization); the vectors are kept in memory for its passes."""
-    data = df.where(F.col(vector).isNotNull()).select(array_to_vector(vector).alias("features")).persist()
+    data = df.where(whole_vector(vector)).select(array_to_vector(vector).alias("features")).persist()
     try:
         return KMeans(k=k, seed=seed, maxIter=rounds).fit(data)
     finally:
@@ -83,21 +91,33 @@ def fit_kmeans(df: DataFrame, vector: str, k: int, seed: int = 7, rounds: int =
 
 
 def apply_kmeans(df: DataFrame, model: KMeansModel, vector: str, out: str = "cluster") -> DataFrame:
-    marked = df.withColumn("features", array_to_vector(vector))
-    return model.setPredictionCol(out).transform(marked).drop("features")
+    """Add the cluster; null where the vector is null or holds a null or NaN."""
+    marked = df.withColumn("features", array_to_vector(_or_zeros(vector, len(model.clusterCenters()[0]))))
+    found = model.setPredictionCol(out).transform(marked).drop("features")
+    return found.withColumn(out, F.when(whole_vector(vector), F.col(out)))
+
+
+def _or_zeros(vector: str, dims: int):
+    """MLlib takes no missing vectors; what becomes of the zeros is not used."""
+    zeros = F.array_repeat(F.lit(0.0), dims)
+    return F.when(whole_vector(vector), F.col(vector).cast("array<double>")).otherwise(zeros)
 
 
 def pca(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """Rows (key, projection) on the first ``k`` components; each component's largest loading is positive."""
-    data = df.select(key, array_to_vector(vector).alias("features"))
-    model = PCA(k=k, inputCol="features", outputCol="projected").fit(data)
+    """Rows (key, projection) on the first ``k`` components; each component's largest loading is positive.
+
+    Vectors that are null or hold a null or NaN are not fitted and have a null projection.
+    """
+    known = df.where(whole_vector(vector)).select(array_to_vector(vector).alias("features"))
+    model = PCA(k=k, inputCol="features", outputCol="projected").fit(known)
     loadings = model.pc.toArray()
+    data = df.select(key, whole_vector(vector).alias("_whole"), array_to_vector(_or_zeros(vector, len(loadings))).alias("features"))
     signs = [1.0 if column[np.abs(column).argmax()] >= 0 else -1.0 for column in loadings.T]
     turned = F.transform(
         F.arrays_zip(vector_to_array("projected").alias("p"), F.array(*[F.lit(s) for s in signs]).alias("s")),
         lambda cell: cell["p"] * cell["s"],
     )
-    return model.transform(data).select(key, turned.alias("projection"))
+    return model.transform(data).select(key, F.when(F.col("_whole"), turned).alias("projection"))
 
 
 def _unit(vectors) -> np.ndarray:

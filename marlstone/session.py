@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +48,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to Python workers that would not find it by themselves.
+
+    Needed where the package is neither on ``PYTHONPATH`` nor in the folder a local session was started in. Spark's
+    own file service hands the archive to every executor, those that join later too; it holds code only.
+    """
+    context = spark.sparkContext
+    folder = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(folder)
+    found = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.master.startswith("local"):
+        found.append(os.getcwd())
+    if context.applicationId in _shipped or not os.path.isdir(folder) or any(p and os.path.abspath(p) == root for p in found):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="marlstone-code-"), "marlstone.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, names in os.walk(folder):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(place, name)
+                    out.write(full, os.path.relpath(full, root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
