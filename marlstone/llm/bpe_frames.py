@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import chunks
 from marlstone.llm.bpe import encoder
+from marlstone.llm.storage import map_arrow
 
 
 def _with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -38,7 +39,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", out: str = "i
                     batch.slice(low, high - low), out, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 )
 
-    return df.mapInArrow(run, _with_field(df, out, T.ArrayType(T.IntegerType())))
+    return map_arrow(df, run, _with_field(df, out, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -51,7 +52,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
             texts = [words.decode(ids or []) for ids in batch.column(place).to_pylist()]
             yield _appended(batch, out, pa.array(texts, pa.string()))
 
-    return df.mapInArrow(run, _with_field(df, out, T.StringType()))
+    return map_arrow(df, run, _with_field(df, out, T.StringType()))
 
 
 def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,4 +93,4 @@ def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
                 names=schema.names,
             )
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marlstone.llm.storage import map_arrow
+
 BLOCK_ROWS = 1000
 BLOCK_MEMBERS = 1_000_000
 SIMILARITY = (75, 100)
@@ -58,7 +60,7 @@ def link_groups(rows: DataFrame) -> DataFrame:
                 [pa.array(c, kind_of(kind)) for c in _links(table.slice(0, done), bounds, keys)], names=schema.names
             )
 
-    return dealt.mapInArrow(run, schema)
+    return map_arrow(dealt, run, schema)
 
 
 def kind_of(kind: T.DataType) -> pa.DataType:

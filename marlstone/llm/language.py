@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from marlstone.llm.batches import HashIndex, chunks
 from marlstone.llm.samples import bounded_sample
 from marlstone.llm.shapes import with_measures
+from marlstone.llm.storage import map_arrow
 
 ORDER = 3
 SAMPLE_TEXTS = 6000
@@ -145,7 +146,7 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     columns = [pa.array([lang] * len(found), pa.string()), pa.array(found.astype("i8")), pa.array(counts.astype("i8"))]
                     yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    counted = sample.select("text", "lang").mapInArrow(run, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counted = map_arrow(sample.select("text", "lang"), run, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     groups: dict[str, pd.DataFrame] = dict(list(counted.groupby("lang")))
     return ContextTrees({lang: (g.gram.to_numpy("u8"), g.n.to_numpy("f8")) for lang, g in groups.items()})
 

@@ -34,7 +34,7 @@ from marlstone.llm.batches import Spans, Texts, flatten, lower_ascii, mix, shing
 from marlstone.llm.components import components
 from marlstone.llm.jaccard import SIMILARITY, link_groups, similar
 from marlstone.llm.shapes import with_measures
-from marlstone.llm.storage import keep, row_label
+from marlstone.llm.storage import keep, map_arrow, row_label
 
 REGISTER_BITS = 7
 REGISTERS = 1 << REGISTER_BITS
@@ -139,7 +139,7 @@ def _explode_bands(classes: DataFrame) -> DataFrame:
             owner = pa.array(np.repeat(np.arange(batch.num_rows), n_bands))
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), batch.column(0).take(owner)], names=schema.names)
 
-    return classes.select("class", "registers").mapInArrow(run, schema)
+    return map_arrow(classes.select("class", "registers"), run, schema)
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -159,7 +159,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
             chosen = pa.array(np.flatnonzero(wanted))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], names=schema.names)
 
-    return sized.select("a", "b", "ra", "rb", F.least("na", "nb").alias("n")).mapInArrow(run, schema)
+    return map_arrow(sized.select("a", "b", "ra", "rb", F.least("na", "nb").alias("n")), run, schema)
 
 
 def _sets(docs: DataFrame, representatives: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             chosen = pa.array(chosen, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], names=schema.names)
 
-    return both.mapInArrow(run, schema)
+    return map_arrow(both, run, schema)
 
 
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import chunks
 from marlstone.llm.bpe import library_encoder
-from marlstone.llm.storage import keep
+from marlstone.llm.storage import keep, map_arrow, map_pandas
 from marlstone.llm.token_files import ends_added
 
 CAPACITY = 2048
@@ -79,7 +79,7 @@ def cut_pieces(
                 columns = [pa.array(piece, pa.int32()), *(pa.array(v, pa.int64()) for v in (start, length, crc))]
                 yield pa.RecordBatch.from_arrays([names, *columns], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def best_fit(bins: Bins, items: Sequence[int], lengths: Sequence[int], capacity: int) -> None:
@@ -207,7 +207,7 @@ def _epoch(islands: DataFrame, capacity: int, epoch: int) -> DataFrame:
                 found.append((chunk, island, _as_numbers(whole, len(lengths)), len(whole), -sum(f * f for f in fills(bins, sizes))))
             yield pd.DataFrame(found, columns=["chunk", "island", "bins", "n_bins", "evenness"])
 
-    return islands.mapInPandas(run, "chunk long, island int, bins array<int>, n_bins int, evenness long")
+    return map_pandas(islands, run, "chunk long, island int, bins array<int>, n_bins int, evenness long")
 
 
 def _round(items: DataFrame, capacity: int, tag: str) -> DataFrame:

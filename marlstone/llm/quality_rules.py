@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.shapes import with_shape
-from marlstone.llm.storage import keep
+from marlstone.llm.storage import keep, map_pandas
 
 GRID = 1024
 CORE = 0.75
@@ -93,7 +93,7 @@ def _estimates(cores: DataFrame) -> DataFrame:
 
     flat = cores.select("cell.*", "n", "s0", "s1", "s2", "s3", *names)
     kinds = {f.name: f.dataType.simpleString() for f in flat.schema if f.name in ("level", "lang", "source")}
-    found = flat.mapInPandas(run, ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", centre array<double>, inverse array<double>")
+    found = map_pandas(flat, run, ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", centre array<double>, inverse array<double>")
     return found.select(F.struct("level", "lang", "source").alias("cell"), "centre", "inverse")
 
 

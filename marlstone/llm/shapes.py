@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.llm.batches import Shape, chunks, flatten, shape
+from marlstone.llm.storage import map_arrow
 
 
 def with_measures(df: DataFrame, name: str, fields: dict[str, T.DataType], measure: Callable, text_col: str = "text") -> DataFrame:
@@ -37,7 +38,7 @@ def with_measures(df: DataFrame, name: str, fields: dict[str, T.DataType], measu
                 found = pa.StructArray.from_arrays(values, names=list(fields))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], found, pa.nulls(high - low, pa.string())], names=schema.names)
 
-    return rows.mapInArrow(run, schema).drop(spare)
+    return map_arrow(rows, run, schema).drop(spare)
 
 
 SHAPE_FIELDS = dict.fromkeys(Shape._fields, T.LongType())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marlstone.session import shared_dir
+from marlstone.session import shared_dir, ship_package
 
 
 def keep(df: DataFrame, purpose: str) -> DataFrame:
@@ -28,3 +31,15 @@ def row_label(row_id: str | Column, text: Column) -> Column:
     """
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     return F.struct(row_id.isNull().alias("no_id"), row_id.alias("id"), F.xxhash64(text).alias("mark"))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package's code at hand on every worker."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def map_pandas(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInPandas`` with this package's code at hand on every worker."""
+    ship_package(df.sparkSession)
+    return df.mapInPandas(run, schema)

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from marlstone.llm.batches import chunks
 from marlstone.llm.bpe import library_encoder
+from marlstone.llm.storage import map_arrow
 
 BLOCK = 128
 PERCENTILE = 90
@@ -176,7 +177,7 @@ def write_token_files(
         if held:
             yield row()
 
-    rows.mapInArrow(run, schema).write.parquet(path)
+    map_arrow(rows, run, schema).write.parquet(path)
 
 
 def _bases(files: DataFrame) -> DataFrame:
@@ -216,7 +217,7 @@ def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> Da
                 places = pa.array(first + ends - lengths, pa.int64())
                 yield pa.RecordBatch.from_arrays([shards, docs.field("id"), places, pa.array(lengths, pa.int64()), found], names=schema.names)
 
-    docs = files.select("shard", "first", "n_ids", "docs", "blocks").mapInArrow(run, schema)
+    docs = map_arrow(files.select("shard", "first", "n_ids", "docs", "blocks"), run, schema)
     bases = _bases(files).withColumnRenamed("shard", "_shard")
     docs = docs.join(bases, F.col("shard") == F.col("_shard"))
     return docs.select("id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", schema.names[-1])

@@ -33,6 +33,7 @@ from marlstone.llm.batches import HashIndex, Texts, chunks, flatten, in_text, ma
 from marlstone.llm.gam import labelled_sample
 from marlstone.llm.pieces import LETTER, kinds_of
 from marlstone.llm.shapes import with_measures
+from marlstone.llm.storage import map_arrow
 
 SAMPLE_ROWS = 6000
 STEM_LETTERS = range(3, 9)
@@ -223,7 +224,7 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
                         columns = [stem.view("i8"), np.full(len(stem), times, "i8"), toxic, both - toxic]
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    return sample.mapInArrow(run, schema).groupBy("stem", "times").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return map_arrow(sample, run, schema).groupBy("stem", "times").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _stem_texts(sample: DataFrame, stems: np.ndarray) -> DataFrame:
@@ -243,7 +244,7 @@ def _stem_texts(sample: DataFrame, stems: np.ndarray) -> DataFrame:
                     columns = [pa.array(c.astype("i8")) for c in (marks[low + text[at]], stem[at].view("i8"), seen[at])]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string())], names=schema.names)
 
-    return sample.where("_label = 1").select("_text", F.xxhash64("_text").alias("mark")).mapInArrow(run, schema)
+    return map_arrow(sample.where("_label = 1").select("_text", F.xxhash64("_text").alias("mark")), run, schema)
 
 
 def choose_stems(
