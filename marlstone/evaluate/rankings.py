@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from marlstone.functions.columns import divide, join_on, whole_vector
 
 
-def ranking_report(df: DataFrame, query: str, item: str, score: str, relevant: str, k: int) -> DataFrame:
+def ranking_report(df: DataFrame, query: str, item: str, score: str, relevant: str, k: int, wanted: DataFrame | None = None) -> DataFrame:
     """Per query: precision, average precision, NDCG and reciprocal rank of its k best items.
 
     ``relevant`` is 0 or 1; ties in the score go to the smaller item. The row_number limit lets Spark keep k
     rows per query and map task, so a query with very many candidates stays cheap. Average
-    precision divides by min(k, relevant items of the query).
+    precision divides by min(k, relevant items of the query). Where ``df`` holds the judged items only, ``wanted`` (``query, wanted``) gives
+    each query's relevant items among all.
     """
     best = Window.partitionBy(query).orderBy(F.desc(score), item)
     top = df.select(query, item, score, F.col(relevant).cast("int").alias("rel")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
@@ -27,7 +28,8 @@ def ranking_report(df: DataFrame, query: str, item: str, score: str, relevant: s
         F.sum(F.col("rel") / F.log2(F.col("place") + 1.0)).alias("dcg"),
         F.min(F.when(F.col("rel") == 1, F.col("place"))).alias("first_hit"),
     )
-    wanted = df.groupBy(query).agg(F.sum(F.col(relevant).cast("bigint")).alias("wanted"))
+    if wanted is None:
+        wanted = df.groupBy(query).agg(F.sum(F.col(relevant).cast("bigint")).alias("wanted"))
     joined = join_on(per_query, wanted, [query])
     possible = F.least("wanted", F.lit(k))
     gains = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: 1.0 / F.log2(i + 1.0))

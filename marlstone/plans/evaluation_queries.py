@@ -222,13 +222,40 @@ select count(*) as queries, round(avg(precision), 6) as mean_precision,
 from r join w using (query_id) left join i on m = least(wanted, 5)
 """)
 def ranking_report_embeddings(spark, folder):
-    """Does a vector's label occur among its nearest neighbours? Ten are judged, five are reported."""
+    """Does a vector's label occur among its nearest neighbours? Ten are judged, five are reported; what is relevant is counted among the ten."""
     vectors = read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"])
+    return rounded(ranking_summary(ranking_report(judged_neighbours(vectors), "query_id", "base_id", "similarity", "rel", 5), "query_id"))
+
+
+def judged_neighbours(vectors):
+    """Each vector's ten nearest neighbours and whether they have its label."""
     found = nearest_neighbours(vectors, vectors, "vec_id", "embedding", 10)
     labels = vectors.select("vec_id", "label")
     judged = found.join(labels.toDF("query_id", "query_label"), "query_id").join(labels.toDF("base_id", "base_label"), "base_id")
-    judged = judged.withColumn("rel", (F.col("query_label") == F.col("base_label")).cast("int"))
-    return rounded(ranking_summary(ranking_report(judged, "query_id", "base_id", "similarity", "rel", 5), "query_id"))
+    return judged.withColumn("rel", (F.col("query_label") == F.col("base_label")).cast("int"))
+
+
+@query(f"""
+with {NEIGHBOURS_SQL},
+t as (select *, sum(rel) over (partition by query_id order by place) as hits from n where place <= 5),
+w as (select v.vec_id as query_id, c.n - 1 as wanted from v join (select label, count(*) as n from v group by label) c on v.label = c.label),
+i as (select m, sum(1 / log2(j + 1)) as ideal from range(1, 6) a(m) join range(1, 6) b(j) on j <= m group by m),
+r as (
+  select query_id, sum(rel) / 5.0 as precision, sum(case when rel = 1 then hits / place else 0 end) as ap,
+         sum(rel / log2(place + 1)) as dcg, min(place) filter (where rel = 1) as first_hit
+  from t group by query_id)
+select count(*) as queries, round(avg(precision), 6) as mean_precision,
+       round(avg(case when wanted = 0 then 0 else ap / least(wanted, 5) end), 6) as mean_average_precision,
+       round(avg(case when wanted = 0 then 0 else dcg / ideal end), 6) as mean_ndcg, round(avg(coalesce(1 / first_hit, 0)), 6) as mean_reciprocal_rank
+from r join w using (query_id) left join i on m = least(wanted, 5)
+""")
+def ranking_report_all_embeddings(spark, folder):
+    """As ``ranking_report_embeddings``, with each query's relevant items counted over the whole table."""
+    vectors = read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"])
+    sizes = vectors.groupBy("label").agg((F.count(F.lit(1)) - 1).alias("wanted"))
+    wanted = vectors.select(F.col("vec_id").alias("query_id"), "label").join(sizes, "label").select("query_id", "wanted")
+    report = ranking_report(judged_neighbours(vectors), "query_id", "base_id", "similarity", "rel", 5, wanted)
+    return rounded(ranking_summary(report, "query_id"))
 
 
 CENTROIDS_SQL = """

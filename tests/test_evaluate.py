@@ -173,3 +173,11 @@ def test_lift_keeps_null_keys(spark):
     rows = [(None if i % 2 else i, i % 3 == 0, 0.5) for i in range(20)]
     df = spark.createDataFrame([(k, int(y), s) for k, y, s in rows], "id long, y int, score double")
     assert [r.n for r in scores.lift(df, "id", "y", "score", 4).orderBy("band").collect()] == [5, 5, 5, 5]
+
+
+def test_ranking_report_counts_relevant_items_beyond_the_judged(spark):
+    judged = spark.createDataFrame([(1, 10, 0.9, 1), (1, 11, 0.8, 0), (1, 12, 0.7, 0)], "q long, item long, score double, rel int")
+    few = ranking_report(judged, "q", "item", "score", "rel", 3).first()
+    all_of_them = ranking_report(judged, "q", "item", "score", "rel", 3, spark.createDataFrame([(1, 50)], "q long, wanted long")).first()
+    assert few.average_precision == 1.0 and abs(all_of_them.average_precision - 1 / 3) < 1e-12
+    assert few.ndcg == 1.0 and abs(all_of_them.ndcg - 1 / (1 + 1 / math.log2(3) + 1 / 2)) < 1e-12
