@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.bpe_frames import round_trip
+from marlstone.llm.centroids import CLUSTERS, DIMS, ROUNDS, cluster_vectors
 from marlstone.llm.exact import mark_copies
 from marlstone.llm.gam import fit_quality, score_quality
 from marlstone.llm.language import fit_languages, identify
@@ -91,7 +92,59 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
-QUERIES = {q.__name__: q for q in (op1_rank_array_bpe, op2_ppm_language, op3_mcd_quality_rules, op4_patched_token_files, op5_hyperminhash_near_dedup, op6_clause_grammar_toxicity, op7_additive_quality, op8_paragraph_minhash, op9_genetic_packing, op10_msd_exact_dedup)}
+def op13_walsh_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = cluster_vectors(read_table(spark, folder, "embeddings", ["vec_id", "embedding"]))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def _centroid_sql() -> str:
+    """The rounds written out: assign by plain distances, then replace by floored means."""
+    parts = [
+        f"""v as materialized (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+            where len(embedding) = {DIMS} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {DIMS}
+        )""",
+        f"""c0 as materialized (
+            select (row_number() over (order by sha256('3:' || vec_id::varchar)) - 1)::int as cluster, v as c from v
+            qualify row_number() over (order by sha256('3:' || vec_id::varchar)) <= {CLUSTERS}
+        )""",
+    ]
+    for r in range(ROUNDS + 1):
+        parts.append(f"""a{r} as materialized (
+            select vec_id, v, cluster, d from (
+                select vec_id, v, cluster, list_sum(list_transform(range(1, {DIMS} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::bigint as d from v, c{r}
+            ) qualify row_number() over (partition by vec_id order by d, cluster) = 1
+        )""")
+        if r < ROUNDS:
+            parts.append(f"""m{r} as materialized (
+            select cluster, list(m order by i) as c from (
+                select cluster, i, ((s - ((s % n) + n) % n) // n)::bigint as m from (
+                    select cluster, i, sum(x)::bigint as s, count(*) as n
+                    from (select cluster, unnest(v) as x, unnest(range(1, {DIMS} + 1)) as i from a{r}) group by cluster, i
+                )
+            ) group by cluster
+        ), c{r + 1} as materialized (select cluster, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} using (cluster))""")
+    return "with " + ",\n".join(parts) + f"""
+        select vec_id, cluster, d as distance, (sum(d) over (partition by cluster))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+               sha256(array_to_string(c{ROUNDS}.c, ',')) as centroid_sha256
+        from a{ROUNDS} join c{ROUNDS} using (cluster)"""
+
+
+_ALL = (
+    op1_rank_array_bpe,
+    op2_ppm_language,
+    op3_mcd_quality_rules,
+    op4_patched_token_files,
+    op5_hyperminhash_near_dedup,
+    op6_clause_grammar_toxicity,
+    op7_additive_quality,
+    op8_paragraph_minhash,
+    op9_genetic_packing,
+    op10_msd_exact_dedup,
+    op13_walsh_centroids,
+)
+QUERIES = {q.__name__: q for q in _ALL}
 
 SQL = {
     "op10_msd_exact_dedup": r"""
@@ -102,4 +155,5 @@ SQL = {
                doc_id = min(doc_id) over same as kept, sha256(text) as text_sha256
         from plain window same as (partition by text)
     """,
+    "op13_walsh_centroids": _centroid_sql(),
 }
