@@ -12,6 +12,7 @@ from marlstone.llm.exact import mark_copies
 from marlstone.llm.gam import fit_quality, score_quality
 from marlstone.llm.language import fit_languages, identify
 from marlstone.llm.minhash import near_components
+from marlstone.llm.ordered import pack_in_order
 from marlstone.llm.packing import cut_pieces, pack
 from marlstone.llm.paragraphs import repeated_paragraphs
 from marlstone.llm.quality_rules import judge
@@ -92,6 +93,12 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
+def op12_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    found = pack_in_order(docs, BYTE_BPE, digest=True).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op13_walsh_centroids(spark: SparkSession, folder: str) -> DataFrame:
     found = cluster_vectors(read_table(spark, folder, "embeddings", ["vec_id", "embedding"]))
     digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
@@ -142,6 +149,7 @@ _ALL = (
     op8_paragraph_minhash,
     op9_genetic_packing,
     op10_msd_exact_dedup,
+    op12_ordered_packing,
     op13_walsh_centroids,
 )
 QUERIES = {q.__name__: q for q in _ALL}
