@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 
-from marlstone.llm.batches import HashIndex, chunks, flatten, span_hashes
+from marlstone.llm.batches import HashIndex, Spans, Texts, chunks, flatten, span_hashes
 from marlstone.llm.pieces import cut, plain_lower
 
 LONG_PIECE = 128
@@ -149,6 +149,11 @@ class Vocabulary:
                         heapq.heappush(heap, (found, left))
         return np.array([p for p, held in zip(parts, alive, strict=True) if held], "i8")
 
+    def token_bytes(self) -> list[bytes]:
+        """What each id stands for, special tokens as their names."""
+        plain = lambda token: bytes(map(self._byte_of.__getitem__, token))
+        return [token.encode() if token in self.special else plain(token) for token in self.tokens]
+
     def special_parts(self, text: str) -> list[str]:
         """The text cut at special tokens; every second part is such a token."""
         return re.split(f"({self._special_pattern.pattern})", text)
@@ -203,12 +208,16 @@ class Encoder:
         self._pool = np.concatenate([self._pool, ids.astype("i4")])
         self._known.add(hashes)
 
-    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and where each text's begin; texts hold no special token."""
+    def pieces(self, texts: Sequence[str]) -> tuple[Texts, Spans]:
+        """The texts end to end, and the stretches of them that are encoded apart from each other."""
         if not self.vocabulary.joined:
             texts = [plain_lower(t) for t in texts]
         flat = flatten(texts)
-        pieces = cut(flat, self.vocabulary.joined)
+        return flat, cut(flat, self.vocabulary.joined)
+
+    def encode_plain(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text's begin; the strings of special tokens are plain text."""
+        flat, pieces = self.pieces(texts)
         hashes = span_hashes(flat.points, pieces)
         if len(self._known) > CACHE_PIECES:
             self._forget()
@@ -231,9 +240,9 @@ class Encoder:
         texts = [t or "" for t in texts]
         special = self.vocabulary.special
         if not any(self.vocabulary.holds_special(t) for t in texts):
-            return self._plain(texts)
+            return self.encode_plain(texts)
         parts = [self.vocabulary.special_parts(t) for t in texts]
-        plain, bounds = self._plain([p for found in parts for p in found[::2]])
+        plain, bounds = self.encode_plain([p for found in parts for p in found[::2]])
         out, sizes, k = [], [], 0
         for found in parts:
             size = 0

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.llm.alignment import alignment_scores
 from marlstone.llm.bpe_frames import round_trip
 from marlstone.llm.centroids import CLUSTERS, DIMS, ROUNDS, cluster_vectors
 from marlstone.llm.exact import mark_copies
@@ -26,6 +27,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 QUALITY_FROM = 0.7
 TOXIC_FROM = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,6 +95,11 @@ def op9_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(docs, BYTE_BPE))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents", ["doc_id", "text"])
+    return alignment_scores(docs, BYTE_BPE, WORD_PIECES).withColumnRenamed("id", "doc_id")
+
+
 def op12_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents", ["doc_id", "text"])
     found = pack_in_order(docs, BYTE_BPE, digest=True).withColumnRenamed("id", "doc_id")
@@ -149,6 +156,7 @@ _ALL = (
     op8_paragraph_minhash,
     op9_genetic_packing,
     op10_msd_exact_dedup,
+    op11_token_alignment,
     op12_ordered_packing,
     op13_walsh_centroids,
 )
