@@ -108,7 +108,9 @@ def row_products(left: Rows, right: Rows, limit: int = PRODUCT_CELLS) -> Iterato
 
 def shared_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     """Places where tokens of both sides end; they close the groups."""
-    return np.intersect1d(a_ends, b_ends)
+    if not len(b_ends):
+        return a_ends[:0]
+    return a_ends[b_ends[np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)] == a_ends]
 
 
 def links(a_ends: np.ndarray, b_ends: np.ndarray, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -196,15 +198,14 @@ def _joined(side: Side, ids: np.ndarray) -> np.ndarray:
 
 
 class Aligned(NamedTuple):
-    """Ids of texts end to end and the bounds of each text, per side, and the sizes of groups with their bounds."""
+    """Ids of texts end to end and the bounds of each text, per side, and whether each token closes a group."""
 
     a_ids: np.ndarray
     a_bounds: np.ndarray
     b_ids: np.ndarray
     b_bounds: np.ndarray
-    group_a: np.ndarray
-    group_b: np.ndarray
-    group_bounds: np.ndarray
+    a_last: np.ndarray
+    b_last: np.ndarray
 
 
 def encode_both(texts: Sequence[str | None], a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -236,22 +237,57 @@ def align_texts(texts: Sequence[str | None], a: Side, b: Side) -> Aligned:
     a_ends, b_ends = np.cumsum(a.size[a_ids]), np.cumsum(b.size[b_ids])
     # Both sides cover the same bytes, so every text's end closes a group.
     ends = shared_ends(a_ends, b_ends)
-    upto_a, upto_b = np.searchsorted(a_ends, ends) + 1, np.searchsorted(b_ends, ends) + 1
-    bounds = np.searchsorted(upto_a, a_bounds, side="right")
-    sizes = np.diff(np.concatenate([[0], upto_a])), np.diff(np.concatenate([[0], upto_b]))
-    return Aligned(a_ids, a_bounds, b_ids, b_bounds, *sizes, bounds)
+    a_last, b_last = np.zeros(len(a_ids), bool), np.zeros(len(b_ids), bool)
+    a_last[np.searchsorted(a_ends, ends)] = True
+    b_last[np.searchsorted(b_ends, ends)] = True
+    return Aligned(a_ids, a_bounds, b_ids, b_bounds, a_last, b_last)
 
 
-LISTS = ("a_ids", "b_ids", "group_a", "group_b")
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value per text of numbers that lie end to end."""
+    offsets = (bounds * values.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def _bits(marks: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value per text of a bit per token."""
+    size = np.diff(bounds)
+    begin = np.concatenate([[0], np.cumsum(-(-size // 8))])
+    padded = np.zeros(8 * int(begin[-1]), bool)
+    padded[np.repeat(8 * begin[:-1] - bounds[:-1], size) + np.arange(len(marks))] = marks
+    return _blobs(np.packbits(padded), begin)
+
+
+def _unblobbed(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column end to end, and the bounds of each row."""
+    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1].astype("i8")
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, "u1")[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, "u1")
+    return np.frombuffer(raw.tobytes(), kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
+
+
+def _unbits(column: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    raw, begin = _unblobbed(column, "u1")
+    size = np.diff(bounds)
+    return np.unpackbits(raw)[np.repeat(8 * begin[:-1] - bounds[:-1], size) + np.arange(int(size.sum()))].astype(bool)
+
+
+def _width(side: Side) -> str:
+    return "<u2" if len(side.size) <= 1 << 16 else "<u4"
+
+
+PACKED = ("a_ids", "b_ids", "a_last", "b_last")
 
 
 def align(df: DataFrame, vocabulary: str, pieces: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id``, the ids of both sides and the numbers of tokens of both in each group.
+    """One row per document: ``id`` and the tokens of both sides, packed; ``token_lists`` unpacks them, other functions read them.
 
-    ``vocabulary`` is a tokenizers file, ``pieces`` a model of word pieces, both at the same path on every executor.
+    ``vocabulary`` is a tokenizers file, ``pieces`` a model of word pieces, both at the same path on every executor. ``a_ids`` and
+    ``b_ids`` hold little-endian unsigned integers (16 bits where the vocabulary allows), ``a_last`` and ``b_last`` a bit per
+    token that is set where it closes a group.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([rows.schema["id"], *[T.StructField(n, T.ArrayType(T.IntegerType())) for n in LISTS]])
+    schema = T.StructType([rows.schema["id"], *[T.StructField(n, T.BinaryType()) for n in PACKED]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = sides(vocabulary, pieces)
@@ -259,11 +295,10 @@ def align(df: DataFrame, vocabulary: str, pieces: str, id_col: str = "doc_id", t
             texts = batch.column(1).to_pylist()
             for low, high in chunks(texts, CHUNK_POINTS):
                 found = align_texts(texts[low:high], a, b)
-                lists = (
-                    (found.a_bounds, found.a_ids), (found.b_bounds, found.b_ids),
-                    (found.group_bounds, found.group_a), (found.group_bounds, found.group_b),
-                )
-                columns = [pa.ListArray.from_arrays(pa.array(p, pa.int32()), pa.array(v, pa.int32())) for p, v in lists]
+                columns = [
+                    _blobs(found.a_ids.astype(_width(a)), found.a_bounds), _blobs(found.b_ids.astype(_width(b)), found.b_bounds),
+                    _bits(found.a_last, found.a_bounds), _bits(found.b_last, found.b_bounds),
+                ]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *columns], names=schema.names)
 
     return map_arrow(rows, run, schema)
@@ -272,17 +307,40 @@ def align(df: DataFrame, vocabulary: str, pieces: str, id_col: str = "doc_id", t
 def _read(batches: Iterator[pa.RecordBatch], a: Side, b: Side, limit: int = CHUNK_POINTS) -> Iterator[tuple[pa.Array, Aligned, np.ndarray, np.ndarray]]:
     """Ids of documents, their alignment and the ends of all tokens, for some documents at a time."""
     for batch in batches:
-        lists = {n: batch.column(batch.schema.names.index(n)) for n in LISTS}
-        bounds = {n: np.asarray(v.offsets).astype("i8") for n, v in lists.items()}
+        _, sizes = _unblobbed(batch.column(1), "u1")
         low = 0
         while low < batch.num_rows:
-            high = int(np.searchsorted(bounds["a_ids"], bounds["a_ids"][low] + limit, side="right")) - 1
-            high = min(max(high, low + 1), batch.num_rows)
-            flat = {n: np.asarray(lists[n].values)[p[low] : p[high]].astype("i8") for n, p in bounds.items()}
-            cut = {n: p[low : high + 1] - p[low] for n, p in bounds.items()}
-            found = Aligned(flat["a_ids"], cut["a_ids"], flat["b_ids"], cut["b_ids"], flat["group_a"], flat["group_b"], cut["group_a"])
-            yield batch.column(0).slice(low, high - low), found, np.cumsum(a.size[found.a_ids]), np.cumsum(b.size[found.b_ids])
-            low = high
+            high = int(np.searchsorted(sizes, sizes[low] + limit, side="right")) - 1
+            some = batch.slice(low, min(max(high, low + 1), batch.num_rows) - low)
+            a_ids, a_bounds = _unblobbed(some.column(1), _width(a))
+            b_ids, b_bounds = _unblobbed(some.column(2), _width(b))
+            a_ids, b_ids = a_ids.astype("i8"), b_ids.astype("i8")
+            found = Aligned(a_ids, a_bounds, b_ids, b_bounds, _unbits(some.column(3), a_bounds), _unbits(some.column(4), b_bounds))
+            yield some.column(0), found, np.cumsum(a.size[a_ids]), np.cumsum(b.size[b_ids])
+            low += some.num_rows
+
+
+def token_lists(aligned: DataFrame, vocabulary: str, pieces: str) -> DataFrame:
+    """``id, a_ids, b_ids`` and ``group_a, group_b``, the numbers of tokens of both sides in each group."""
+    names = ("a_ids", "b_ids", "group_a", "group_b")
+    schema = T.StructType([aligned.schema["id"], *[T.StructField(n, T.ArrayType(T.IntegerType())) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = sides(vocabulary, pieces)
+        lists = lambda bounds, values: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
+        for ids, found, _, _ in _read(batches, a, b):
+            groups, n_groups = _group_sizes(found)
+            columns = [lists(found.a_bounds, found.a_ids), lists(found.b_bounds, found.b_ids), *(lists(n_groups, g) for g in groups)]
+            yield pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
+
+    return map_arrow(aligned.select("id", *PACKED), run, schema)
+
+
+def _group_sizes(found: Aligned) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The numbers of tokens of both sides in each group, and the bounds of each text's groups."""
+    upto = [np.flatnonzero(last) + 1 for last in (found.a_last, found.b_last)]
+    sizes = tuple(np.diff(np.concatenate([[0], u])) for u in upto)
+    return sizes, np.searchsorted(upto[0], found.a_bounds, side="right")
 
 
 def link_rows(aligned: DataFrame, vocabulary: str, pieces: str, kind: str) -> DataFrame:
@@ -301,7 +359,7 @@ def link_rows(aligned: DataFrame, vocabulary: str, pieces: str, kind: str) -> Da
                 told = pa.nulls(len(i), pa.int32()) if kind == "group" else pa.array(shared, pa.int32())
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), *(pa.array(v, pa.int32()) for v in values), told], names=schema.names)
 
-    return map_arrow(aligned.select("id", *LISTS), run, schema)
+    return map_arrow(aligned.select("id", *PACKED), run, schema)
 
 
 COUNTS = "a_id int, b_id int, n long"
@@ -334,7 +392,7 @@ def link_counts(aligned: DataFrame, vocabulary: str, pieces: str, kind: str = "e
         if len(pairs):
             yield told()
 
-    parts = map_arrow(aligned.select("id", *LISTS), run, COUNTS)
+    parts = map_arrow(aligned.select("id", *PACKED), run, COUNTS)
     return parts.groupBy("a_id", "b_id").agg(F.sum("n").alias("n"))
 
 
@@ -385,9 +443,10 @@ def score_end_links(aligned: DataFrame, counts: DataFrame, vocabulary: str, piec
                 for row, values in enumerate((np.ones(len(i), "i8"), best[place].astype("i8"), times[place])):
                     np.add.at(sums[row], owner, values)
             # Tokens in the order of groups, A before B, each with the mark that follows it.
-            upto_a, upto_b = np.cumsum(found.group_a), np.cumsum(found.group_b)
-            a_place = np.arange(len(found.a_ids)) + np.repeat(upto_b - found.group_b, found.group_a)
-            b_place = np.arange(len(found.b_ids)) + np.repeat(upto_a, found.group_b)
+            (group_a, group_b), n_groups = _group_sizes(found)
+            upto_a, upto_b = np.cumsum(group_a), np.cumsum(group_b)
+            a_place = np.arange(len(found.a_ids)) + np.repeat(upto_b - group_b, group_a)
+            b_place = np.arange(len(found.b_ids)) + np.repeat(upto_a, group_b)
             codes = np.zeros(len(found.a_ids) + len(found.b_ids), "i8")
             codes[a_place], codes[b_place] = found.a_ids, found.b_ids
             codes[a_place[upto_a - 1]] += step
@@ -398,11 +457,11 @@ def score_end_links(aligned: DataFrame, counts: DataFrame, vocabulary: str, piec
                 hashlib.sha256("".join(map(texts.__getitem__, every[p:q]))[:-1].encode()).hexdigest() if q > p else ""
                 for p, q in zip(bounds, bounds[1:])
             ]
-            values = (np.diff(found.a_bounds), np.diff(found.b_bounds), np.diff(found.group_bounds), *sums)
+            values = (np.diff(found.a_bounds), np.diff(found.b_bounds), np.diff(n_groups), *sums)
             columns = [ids, *(pa.array(v, pa.int64()) for v in values), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return map_arrow(aligned.select("id", *LISTS), run, schema)
+    return map_arrow(aligned.select("id", *PACKED), run, schema)
 
 
 def alignment_scores(df: DataFrame, vocabulary: str, pieces: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,6 +20,7 @@ from marlstone.llm.alignment import (
     most_end_pairs,
     row_products,
     sides,
+    token_lists,
     transposed,
 )
 from marlstone.llm.bpe import byte_letters
@@ -137,7 +138,7 @@ def test_unknown_kind_is_an_error():
 
 def test_ids_and_groups_equal_the_libraries(spark):
     split = plain_tokens()
-    found = align(table(spark, ROWS), BYTE_BPE, PIECES).collect()
+    found = token_lists(align(table(spark, ROWS), BYTE_BPE, PIECES), BYTE_BPE, PIECES).collect()
     mine, theirs = [], []
     for r in found:
         a, b, groups = list(r["a_ids"]), list(r["b_ids"]), []
