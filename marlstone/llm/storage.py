@@ -11,16 +11,39 @@ from pyspark.sql import types as T
 from marlstone.session import shared_dir, ship_package
 
 
+#: Spark's own setting: shuffle files go when the execution that wrote them has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, written as Parquet below the session's shared folder and read back.
 
     What follows starts from the written files: nothing is computed twice, a lost executor costs only the
-    tasks that ran on it, and the planner knows the table's size when it chooses how to join.
+    tasks that ran on it, and the planner knows the table's size when it chooses how to join. The shuffle files that went into the
+    table are of no use from then on and are removed, so a job of many steps holds those of one step at a time.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete tables given back by ``keep``; nothing that is still to be computed may read them."""
+    for df in kept:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_label(row_id: str | Column, text: Column) -> Column:
