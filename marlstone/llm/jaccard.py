@@ -7,7 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,45 +24,116 @@ def similar(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
     return high * common >= low * (left + right - common)
 
 
-def link_groups(rows: DataFrame) -> DataFrame:
-    """Links ``a, b`` between nodes of one group (``key``) whose sets are similar.
+def _dealt(rows: DataFrame, columns: list[str], size: Column) -> DataFrame:
+    """The rows of groups (``key``) of two or more, dealt by ``key, i, j`` and sorted: a pair of blocks of one group lies together.
 
-    ``rows`` has ``key, node, root, members`` (sorted 64-bit numbers as bytes); nodes with one root are connected already. All pairs of a group are
-    compared inside a task, one set against all others of a block at once, and of the links found only those are given back that
-    connect more than was connected, so the result grows with the rows, not with the pairs. A group with more than ``BLOCK_ROWS`` rows or
-    ``BLOCK_MEMBERS`` set members is cut into blocks; each pair of blocks is a task's group of its own.
+    A group with more than ``BLOCK_ROWS`` rows or ``BLOCK_MEMBERS`` in ``size`` is cut into blocks; ``mine`` is a row's own.
     """
-    size = F.octet_length("members") / 8
     totals = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("total"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("total") / BLOCK_MEMBERS, F.lit(1.0))).cast("int")
     totals = totals.where("n > 1").select("key", blocks.alias("blocks"))
     dealt = rows.join(totals, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "node", "root", "members", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    dealt = dealt.select("key", *columns, "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     # One pass over sorted rows handles many small groups per batch, which a call per group would not.
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Tables of whole groups, their bounds and their ``key, i, j``, of rows dealt as above."""
+    held: pa.Table | None = None
+    for batch in chain(batches, [None]):
+        table = held if batch is None else pa.concat_tables([held, pa.table(batch)]) if held is not None else pa.table(batch)
+        if table is None or not table.num_rows:
+            continue
+        keys = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+        starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+        # The last group may go on in the next batch.
+        done = table.num_rows if batch is None else int(starts[-1])
+        held = None if batch is None else table.slice(done)
+        yield table.slice(0, done), np.unique(np.append(starts[starts <= done], done)), keys
+
+
+def link_groups(rows: DataFrame) -> DataFrame:
+    """Links ``a, b`` between nodes of one group (``key``) whose sets are similar.
+
+    ``rows`` has ``key, node, root, members`` (sorted 64-bit numbers as bytes); nodes with one root are connected already. All pairs of a group are
+    compared inside a task, one set against all others of a block at once, and of the links found only those are given back that
+    connect more than was connected, so the result grows with the rows, not with the pairs. Each pair of blocks of a large group is
+    a task's group of its own.
+    """
+    dealt = _dealt(rows, ["node", "root", "members"], F.octet_length("members") / 8)
     kind = rows.schema["node"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in chain(batches, [None]):
-            table = held if batch is None else pa.concat_tables([held, pa.table(batch)]) if held is not None else pa.table(batch)
-            if table is None or not table.num_rows:
-                continue
-            keys = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
-            # The last group may go on in the next batch.
-            done = table.num_rows if batch is None else int(starts[-1])
-            held = None if batch is None else table.slice(done)
-            bounds = np.unique(np.append(starts[starts <= done], done))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind_of(kind)) for c in _links(table.slice(0, done), bounds, keys)], names=schema.names
-            )
+        for table, bounds, keys in _whole_groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind_of(kind)) for c in _links(table, bounds, keys)], names=schema.names)
 
     return map_arrow(dealt, run, schema)
 
 
+def open_nodes(rows: DataFrame, sketch: int, least: int) -> DataFrame:
+    """The nodes (long) of each group (``key``) whose sketch leaves it open whether their set is similar to that of another node of the group.
+
+    A ``sketch`` is the size of a set and its smallest hashes in order, at most ``sketch`` of them, as 32-bit numbers. A pair is ruled out by
+    the sizes alone, or where sketches hold whole sets by what they share; of larger sets, the smallest ``sketch`` hashes of both together
+    must hold at least ``least`` shared ones.
+    """
+    dealt = _dealt(rows, ["node", "sketch"], F.octet_length("sketch") / 4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds, keys in _whole_groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(_open(table, bounds, keys, sketch, least), pa.int64())], names=["node"])
+
+    return map_arrow(dealt, run, "node long")
+
+
+def _open(table: pa.Table, bounds: np.ndarray, keys: np.ndarray, sketch: int, least: int) -> np.ndarray:
+    """Rows are laid out as a matrix, one sketch each, and compared at growing distances within their groups, a distance at a time."""
+    n = table.num_rows
+    node, mine = table.column("node").to_numpy(), table.column("mine").to_numpy()
+    raw = table.column("sketch").combine_chunks()
+    raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+    offsets = np.frombuffer(raw.buffers()[1], "<i4")[raw.offset : raw.offset + n + 1].astype("i8") // 4
+    held = np.frombuffer(raw.buffers()[2], "<u4") if n else np.zeros(0, "<u4")
+    size = held[offsets[:-1]].astype("i8") if n else np.zeros(0, "i8")
+    count = np.diff(offsets) - 1
+    # Free places hold numbers above all hashes, different on the left and the right.
+    marks = np.full((n, sketch), 1 << 33, "i8")
+    place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    row = np.repeat(np.arange(n), count)
+    marks[row, place] = held[np.repeat(offsets[:-1] + 1, count) + place]
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    found = np.zeros(n, bool)
+    first, second = keys[1, :n], keys[2, :n]
+    longest = int(np.diff(bounds).max()) if len(bounds) > 1 else 0
+    for step in range(1, longest):
+        left = np.flatnonzero(np.arange(n) + step < end)
+        right = left + step
+        # Within one block all pairs, between two blocks those across; a pair that is settled need not be looked at.
+        fits = ((first[left] == second[left]) | (mine[left] != mine[right])) & ~(found[left] & found[right])
+        small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+        fits &= SIMILARITY[1] * small >= SIMILARITY[0] * large
+        left, right, large = left[fits], right[fits], large[fits]
+        for low in range(0, len(left), 1 << 14):
+            a, b, whole = (v[low : low + (1 << 14)] for v in (left, right, large))
+            alike = _may_be_similar(marks[a], marks[b], size[a], size[b], whole <= sketch, sketch, least)
+            found[a[alike]] = found[b[alike]] = True
+    return node[found]
+
+
+def _may_be_similar(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, whole: np.ndarray, sketch: int, least: int) -> np.ndarray:
+    """For each row of two matrices of sorted hashes (above 2**32: none) whether the sets they stand for may be similar."""
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] < 1 << 32)
+    exact = similar(twice.sum(axis=1), na, nb)
+    # Place in the order of the different hashes of both.
+    rank = np.cumsum(~twice, axis=1)
+    among = (twice & (rank < sketch)).sum(axis=1)
+    return np.where(whole, exact, among >= least)
+
+
 def kind_of(kind: T.DataType) -> pa.DataType:
     return pa.int64() if isinstance(kind, T.LongType) else pa.binary()
 
