@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.storage import map_arrow
+from marlstone.functions.columns import SMALL_TABLE_ROWS
+from marlstone.llm.storage import keep, map_arrow
 
 BLOCK_ROWS = 1000
 BLOCK_MEMBERS = 1_000_000
@@ -25,14 +26,17 @@ def similar(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
 
 
 def _dealt(rows: DataFrame, columns: list[str], size: Column) -> DataFrame:
-    """The rows of groups (``key``) of two or more, dealt by ``key, i, j`` and sorted: a pair of blocks of one group lies together.
+    """The rows of groups (``key``) dealt by ``key, i, j`` and sorted: a pair of blocks of one group lies together.
 
     A group with more than ``BLOCK_ROWS`` rows or ``BLOCK_MEMBERS`` in ``size`` is cut into blocks; ``mine`` is a row's own.
     """
     totals = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("total"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("total") / BLOCK_MEMBERS, F.lit(1.0))).cast("int")
-    totals = totals.where("n > 1").select("key", blocks.alias("blocks"))
-    dealt = rows.join(totals, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = keep(totals.where("n > 1").select(F.col("key").alias("_key"), blocks.alias("blocks")).where("blocks > 1"), "large-groups")
+    # Few groups are large, so that the rows need not move to learn of them; if they are many, they are joined as any table.
+    told = F.broadcast(large) if large.count() <= SMALL_TABLE_ROWS else large
+    dealt = rows.join(told, F.col("key") == F.col("_key"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", *columns, "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     # One pass over sorted rows handles many small groups per batch, which a call per group would not.

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,20 @@ from marlstone.session import shared_dir, ship_package
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run in here go when it has ended."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def keep(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, written as Parquet below the session's shared folder and read back.
 
@@ -24,15 +39,8 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with tidy(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.kept_at = path
     return kept
