@@ -11,6 +11,7 @@ from marlstone.evaluate.scores import auc
 from marlstone.functions.columns import rounded
 from marlstone.models.bayes import fit_bayes, score_bayes
 from marlstone.models.linear import coefficients, fit_line, fit_linear, fit_logistic
+from marlstone.models.neighbours import approximate_neighbours, neighbour_recall, pruned_neighbours
 from marlstone.models.scoring import batch_score, cross_validate
 from marlstone.models.trees import best_split, fit_tree
 from marlstone.models.vectors import apply_kmeans, assign_nearest, fit_centroids, fit_kmeans, kmeans_step, nearest_neighbours, pca
@@ -187,6 +188,37 @@ def neighbours_embeddings(spark, folder):
     return rounded(nearest_neighbours(vectors, vectors, "vec_id", "embedding", 5))
 
 
+@query(f"""
+with {NEIGHBOURS_SQL}
+select query_id, place::int as place, base_id, round(similarity, 6) as similarity from n where place <= 5
+""")
+def pruned_neighbours_embeddings(spark, folder):
+    """As ``neighbours_embeddings``, by blocks that the angles leave open."""
+    vectors = read_table(spark, folder, "embeddings", ["vec_id", "embedding"])
+    return rounded(pruned_neighbours(vectors, vectors, "vec_id", "embedding", 5))
+
+
+def asked_vectors(spark, folder):
+    """All vectors, and those whose id is divisible by 50 as queries."""
+    vectors = read_table(spark, folder, "embeddings", ["vec_id", "embedding"])
+    return vectors, vectors.where("vec_id % 50 = 0")
+
+
+@query()
+def approximate_neighbours_embeddings(spark, folder):
+    """Ten near neighbours of every fiftieth vector by random projections; ``neighbour_recall_embeddings`` tells how many are right."""
+    vectors, queries = asked_vectors(spark, folder)
+    return rounded(approximate_neighbours(queries, vectors, "vec_id", "embedding", 10))
+
+
+@query()
+def neighbour_recall_embeddings(spark, folder):
+    """The approximate search against the exact one."""
+    vectors, queries = asked_vectors(spark, folder)
+    found = approximate_neighbours(queries, vectors, "vec_id", "embedding", 10)
+    return rounded(neighbour_recall(found, nearest_neighbours(queries, vectors, "vec_id", "embedding", 10)))
+
+
 def _split_sql(feature):
     return f"""
 select '{feature}' as feature, threshold, n_left, n_right, round(gini, 9) as gini from (
