@@ -2,10 +2,9 @@
 
 All of them work on points, one row per (key, time): rows that share both are combined first, in
 the map tasks. How many rows the busiest key has is counted before the plan is chosen. Where no key
-is too large, a plain window per key does the work with one shuffle. Otherwise time is cut into
-slices and windows run per (key, slice), so that a busy key is spread over its slices; only
-slice summaries, whose number depends on the length of time and not on the rows, are brought
-together per key.
+holds more than a fair partition of the rows, a plain window per key does the work with one shuffle. Otherwise
+time is cut into slices and windows run per (key, slice), so that a busy key is spread over its slices, and slice
+summaries are scanned in blocks of their own (``scans``), never a whole key at once.
 """
 
 from __future__ import annotations
@@ -17,22 +16,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import from_micros, micros, nan_as_null
+from marlstone.operators.scans import FAN, block_of, carry_last, carry_sum
 
 SECOND = 1_000_000
 DAY = 86_400 * SECOND
-# Rows of one key, or of one (key, slice), that a single window may hold.
+# Rows of one key, or of one (key, slice), that a single window may hold at most,
 WINDOW_ROWS = 2_000_000
+# and how many it may hold even where a partition's fair share of all rows is less.
+FEW_ROWS = 1_000
 # Rows that a sliding frame may span: Spark adds a sliding frame up anew for every row.
 FRAME_ROWS = 1_000
 
 
-def _slice(column, width):
-    """Number of the slice a time falls into; integer arithmetic, right for times before 1970.
-
-    The times are never null here. Saying so keeps null checks out of one side of the slice join, so that both
-    sides can share their shuffle.
-    """
-    return F.coalesce(F.expr(f"({column} - pmod({column}, {width}L)) div {width}L"), F.lit(0))
+def _timed(df: DataFrame, key: str, ts: str) -> DataFrame:
+    return df.where(F.col(ts).isNotNull()).select(F.col(key).alias("k"), micros(ts).alias("t"))
 
 
 def busiest(df: DataFrame, key: str, ts: str, width: int | None = None) -> int:
@@ -40,9 +37,22 @@ def busiest(df: DataFrame, key: str, ts: str, width: int | None = None) -> int:
 
     Counts are combined in the map tasks and one number comes back.
     """
-    timed = df.where(F.col(ts).isNotNull()).select(key, micros(ts).alias("t"))
-    groups = [key] if width is None else [key, _slice("t", width)]
-    return timed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    groups = ["k"] if width is None else ["k", block_of("t", width)]
+    return _timed(df, key, ts).groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _fair(df: DataFrame, rows: int, window_rows: int) -> int:
+    """Rows that a window may hold: a partition's share of ``rows``, but not fewer than ``FEW_ROWS`` nor more than ``window_rows``."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(ceil(rows / partitions), FEW_ROWS), window_rows)
+
+
+def _load(df: DataFrame, key: str, ts: str, width: int = DAY) -> tuple[int, int, int]:
+    """All rows with a time, those of the busiest key, and those of the busiest key within one slice; one pass."""
+    slices = _timed(df, key, ts).groupBy("k", block_of("t", width)).agg(F.count(F.lit(1)).alias("n"))
+    keys = slices.groupBy("k").agg(F.sum("n").alias("n"), F.max("n").alias("slice"))
+    found = keys.agg(F.sum("n"), F.max("n"), F.max("slice")).first()
+    return tuple(n or 0 for n in found)
 
 
 def _slice_width(df, key, ts, window_rows):
@@ -71,8 +81,8 @@ def rolling(
 ) -> DataFrame:
     """Count, sum, mean, minimum and maximum of the key's values in [time - span, time).
 
-    One row per (key, time). Spans of at most ``frame_rows`` rows are a plain sliding frame; longer ones
-    are put together from slices, of which a span has enough to keep each below ``window_rows``.
+    One row per (key, time). Where spans hold at most ``frame_rows`` rows and no key more than a fair partition, they are a plain
+    sliding frame; else they are put together from slices, of which a span has enough to keep each below that and ``window_rows``.
     """
     span = span_seconds * SECOND
     values = df.where(F.col(ts).isNotNull()).select(F.col(key), micros(ts).alias("t"), nan_as_null(value).alias("v"))
@@ -82,8 +92,9 @@ def rolling(
             F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")
         )
 
-    rows = busiest(df, key, ts, span)
-    if rows <= frame_rows:
+    every, most, rows = _load(df, key, ts, span)
+    limit = _fair(df, every, window_rows)
+    if rows <= frame_rows and most <= limit:
         # Placed by key, the rows are combined and run through the window without another shuffle.
         points = combined(values.repartition(key))
         frame = Window.partitionBy(key).orderBy("t").rangeBetween(-span, -1)
@@ -98,7 +109,7 @@ def rolling(
     else:
         # The slices of a span must fill it exactly; powers of two times 24 divide whole seconds well.
         slices = 24
-        while rows / slices > window_rows and span % (2 * slices) == 0:
+        while rows / slices > limit and span % (2 * slices) == 0:
             slices *= 2
         while span % slices:
             slices -= 1
@@ -124,50 +135,65 @@ def _rolling_by_slices(points, key, span, slices):
     width = span // slices
     # As a struct the key is never null, so the windows, the summary and the join share their shuffles.
     points = points.withColumn("entity", F.struct(key))
-    point = F.struct("n", "s", "lo", "hi")
-    nothing = F.lit(None).cast("struct<n:bigint,s:double,lo:double,hi:double>")
-    sides = F.array(
-        F.struct(F.col("t").alias("t"), point.alias("now"), nothing.alias("old")),
-        F.struct((F.col("t") + F.lit(span)).alias("t"), nothing.alias("now"), point.alias("old")),
-    )
-    both = points.select("entity", F.explode(sides).alias("e")).select("entity", "e.*").withColumn("slice", _slice("t", width))
-
-    def measures(source, frame, name):
-        return [
-            F.sum(f"{source}.n").over(frame).alias(f"{name}_n"),
-            F.sum(f"{source}.s").over(frame).alias(f"{name}_s"),
-            F.min(f"{source}.lo").over(frame).alias(f"{name}_lo"),
-            F.max(f"{source}.hi").over(frame).alias(f"{name}_hi"),
-        ]
+    point = F.struct("n", "s", "lo", "hi").alias("point")
+    cut = points.select("entity", "t", point, block_of("t", width).alias("slice"))
+    local = _head_and_tail(cut, "t", span, width)
+    if slices > 1:
+        totals = [F.sum("point.n").alias("n"), F.sum("point.s").alias("s"), F.min("point.lo").alias("lo"), F.max("point.hi").alias("hi")]
+        summary = cut.groupBy("entity", "slice").agg(*totals).select("entity", "slice", point)
+        # The whole slices between are the past of a slice number, put together in the same way: the span of ``slices - 1`` numbers
+        # is the head of its own stretch of numbers and the tail of the one before.
+        between = slices - 1
+        whole = _head_and_tail(summary, "slice", between, between).select("entity", "slice", _added("head", "tail").alias("mid"))
+        local = local.join(whole, ["entity", "slice"])
+        past = _added("head", "mid", "tail")
+    else:
+        past = _added("head", "tail")
+    return local.select(f"entity.{key}", "t", past.alias("past")).select(key, "t", "past.*")
 
-    inside = Window.partitionBy("entity", "slice")
-    head = inside.orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    tail = inside.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
-    local = both.select("*", *measures("now", head, "head"), *measures("old", tail, "tail")).where(
-        F.col("now").isNotNull()
-    )
-    summary = (
-        points.withColumn("slice", _slice("t", width))
-        .groupBy("entity", "slice")
-        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .select("entity", "slice", point.alias("now"))
-    )
-    between = Window.partitionBy("entity").orderBy("slice").rangeBetween(-(slices - 1), -1)
-    whole = summary.select("entity", "slice", *measures("now", between, "mid"))
-    joined = local.join(whole, ["entity", "slice"])
+
+def _added(*parts: str):
+    """Structs of sums put together; a missing one is empty."""
 
     def total(name, zero):
-        head_part, mid_part, tail_part = [F.coalesce(F.col(f"{p}_{name}"), F.lit(zero)) for p in ("head", "mid", "tail")]
-        return head_part + mid_part + tail_part
+        return sum((F.coalesce(F.col(f"{p}.{name}"), F.lit(zero)) for p in parts[1:]), F.coalesce(F.col(f"{parts[0]}.{name}"), F.lit(zero)))
 
-    return joined.select(
-        f"entity.{key}",
-        "t",
+    return F.struct(
         total("n", 0).alias("n"),
         total("s", 0.0).alias("s"),
-        F.least("head_lo", "mid_lo", "tail_lo").alias("lo"),
-        F.greatest("head_hi", "mid_hi", "tail_hi").alias("hi"),
+        F.least(*[F.col(f"{p}.lo") for p in parts]).alias("lo"),
+        F.greatest(*[F.col(f"{p}.hi") for p in parts]).alias("hi"),
+    )
+
+
+def _head_and_tail(rows, at, span, width):
+    """``rows`` (entity, ``at``, point) with ``head``, what lies before in the row's own stretch of ``width``, and ``tail``, what of the last
+    ``span`` lies in the stretch that it begins in.
+
+    For the tail each row also appears moved on by the span: it then lies in the stretch of the rows that it still reaches.
+    """
+    names = [c for c in rows.columns if c not in ("entity", "point")]
+    nothing = F.lit(None).cast("struct<n:bigint,s:double,lo:double,hi:double>")
+    sides = F.array(
+        F.struct(*[F.col(c).alias(c) for c in names], F.col(at).alias("_at"), F.col("point").alias("now"), nothing.alias("old")),
+        F.struct(*[F.col(c).alias(c) for c in names], (F.col(at) + F.lit(span)).alias("_at"), nothing.alias("now"), F.col("point").alias("old")),
     )
+    both = rows.select("entity", F.explode(sides).alias("e")).select("entity", "e.*")
+    both = both.withColumn("_stretch", block_of("_at", width))
+
+    def measures(source, frame):
+        return F.struct(
+            F.sum(f"{source}.n").over(frame).alias("n"),
+            F.sum(f"{source}.s").over(frame).alias("s"),
+            F.min(f"{source}.lo").over(frame).alias("lo"),
+            F.max(f"{source}.hi").over(frame).alias("hi"),
+        )
+
+    inside = Window.partitionBy("entity", "_stretch")
+    head = inside.orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    tail = inside.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    found = both.select("*", measures("now", head).alias("head"), measures("old", tail).alias("tail"))
+    return found.where(F.col("now").isNotNull()).select("entity", *names, "head", "tail")
 
 
 def lags(
@@ -196,25 +222,15 @@ def lags(
         return [F.lag(point, step).over(window).alias(f"e{step}") for step in range(1, steps + 1)]
 
     whole = Window.partitionBy(key).orderBy("t")
-    if busiest(df, key, ts) <= window_rows:
+    every, most, _ = _load(df, key, ts)
+    limit = _fair(df, every, window_rows)
+    if most <= limit:
         # Placed by key, the rows are combined and run through the window without another shuffle.
         placed = values.repartition(key).groupBy(key, "t").agg(chosen.alias("v")).select("*", *earlier(whole))
     else:
-        # Points deep inside a slice find their lags there. The first points of a slice find them
-        # among the first and last points of all slices of the key, which is all that they can reach.
         points = values.groupBy(key, "t").agg(chosen.alias("v"))
-        cut = points.withColumn("slice", _slice("t", _slice_width(df, key, ts, window_rows)))
-        inside = Window.partitionBy(key, "slice")
-        sliced = cut.select(
-            "*",
-            *earlier(inside.orderBy("t")),
-            F.row_number().over(inside.orderBy("t")).alias("from_start"),
-            F.row_number().over(inside.orderBy(F.desc("t"))).alias("from_end"),
-        )
-        deep = sliced.where(F.col("from_start") > steps)
-        border = sliced.where((F.col("from_start") <= steps) | (F.col("from_end") <= steps))
-        first = border.select(*cut.columns, "from_start", "from_end", *earlier(whole)).where(F.col("from_start") <= steps)
-        placed = deep.unionByName(first)
+        width = _slice_width(df, key, ts, limit)
+        placed = _lags_by_slices(points, key, steps, earlier, [width, width * FAN, width * FAN * FAN])
 
     columns = [key, from_micros("t").alias(ts), F.col("v").alias(value)]
     for step in range(1, steps + 1):
@@ -226,11 +242,32 @@ def lags(
     return placed.select(*columns)
 
 
+def _lags_by_slices(points, key, steps, earlier, widths):
+    """Points deep inside a slice find their lags there. The first points of a slice find them among the first and last points of the key's
+    slices, which is all that they can reach; these are cut into wider slices in turn.
+    """
+    if not widths:
+        return points.select("*", *earlier(Window.partitionBy(key).orderBy("t")))
+    inside = Window.partitionBy(key, "slice")
+    sliced = points.withColumn("slice", block_of("t", widths[0])).select(
+        "*",
+        *earlier(inside.orderBy("t")),
+        F.row_number().over(inside.orderBy("t")).alias("from_start"),
+        F.row_number().over(inside.orderBy(F.desc("t"))).alias("from_end"),
+    )
+    named = [c for c in sliced.columns if c not in ("slice", "from_start", "from_end")]
+    deep = sliced.where(F.col("from_start") > steps).select(*named)
+    border = sliced.where((F.col("from_start") <= steps) | (F.col("from_end") <= steps))
+    border = border.select(*points.columns, (F.col("from_start") <= steps).alias(f"first_{len(widths)}"))
+    found = _lags_by_slices(border, key, steps, earlier, widths[1:])
+    return deep.unionByName(found.where(f"first_{len(widths)}").select(*named))
+
+
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | None = None) -> DataFrame:
     """Runs of a key's events in which no pause is longer than the gap.
 
     Events of one stretch of the gap's length can never be further apart than the gap, so a stretch is
-    summed up first, in the map tasks, and only stretches are put in order. Gives the session
+    summed up first, in the map tasks, and only stretches are put in order, in blocks of a key's stretches. Gives the session
     number from 1, its start, end, events, length in seconds and, with ``value``, the sum.
     """
     gap = gap_seconds * SECOND
@@ -238,16 +275,13 @@ def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | No
     stretches = (
         df.where(F.col(ts).isNotNull())
         .select(key, micros(ts).alias("t"), amount.alias("v"))
-        .withColumn("stretch", _slice("t", gap))
+        .withColumn("stretch", block_of("t", gap))
         .groupBy(key, "stretch")
         .agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
     )
-    order = Window.partitionBy(key).orderBy("stretch")
-    pause = F.col("first") - F.lag("last").over(order)
-    starts = stretches.withColumn("starts", F.when(pause <= gap, 0).otherwise(1))
-    numbered = starts.withColumn(
-        "session", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
+    before = carry_last(stretches, [key], "stretch", "last", "before")
+    starts = before.withColumn("starts", F.when(F.col("first") - F.col("before") <= gap, 0).otherwise(1))
+    numbered = carry_sum(starts, [key], "stretch", "starts", "started").withColumn("session", F.col("started") + F.col("starts"))
     result = numbered.groupBy(key, "session").agg(
         F.min("first").alias("t0"), F.max("last").alias("t1"), F.sum("n").alias("events"), F.sum("v").alias("v")
     )
@@ -284,8 +318,9 @@ def asof(
         micros(right_ts).alias("t"),
         F.struct(micros(right_ts).alias("t"), (F.col(tie) if tie else kept).alias("tie"), kept.alias("row")).alias("fact"),
     )
-    rows = max(busiest(left, key, left_ts), busiest(right, key, right_ts))
-    if rows <= window_rows:
+    loads = [_load(left, key, left_ts), _load(right, key, right_ts)]
+    limit = _fair(left, sum(rows for rows, _, _ in loads), window_rows)
+    if sum(most for _, most, _ in loads) <= limit:
         # One window over both sides, placed by key; the left rows travel through it whole.
         asks = left.select(F.col(key).alias("_key"), micros(left_ts).alias("t"), F.struct(*left.columns).alias("row"))
         both = asks.unionByName(facts, allowMissingColumns=True)
@@ -295,7 +330,7 @@ def asof(
         answered = answered.where("row is not null").select("row.*", "found")
     else:
         # The match is found once per distinct (key, time) and joined to the left rows afterwards.
-        found = _asof_by_slices(left, right, facts, key, left_ts, right_ts, window_rows)
+        found = _asof_by_slices(left, right, facts, key, left_ts, right_ts, limit)
         answers = found.select(
             F.col("_key").alias(key), from_micros("t").cast(dict(left.dtypes)[left_ts]).alias(left_ts), "found"
         )
@@ -316,14 +351,13 @@ def _asof_by_slices(left, right, facts, key, left_ts, right_ts, window_rows):
     )
     points = facts.groupBy("_key", "t").agg(F.max_by("fact", "fact.tie").alias("fact"))
     width = min(_slice_width(left, key, left_ts, window_rows), _slice_width(right, key, right_ts, window_rows))
-    cut = times.unionByName(points, allowMissingColumns=True).withColumn("slice", _slice("t", width))
+    cut = times.unionByName(points, allowMissingColumns=True).withColumn("slice", block_of("t", width))
     newer = (Window.unboundedPreceding, -1)
     nearest = F.last("fact", ignorenulls=True)
     inside = Window.partitionBy("_key", "slice").orderBy("t").rangeBetween(*newer)
     local = cut.withColumn("near", nearest.over(inside)).where("asks")
     last = cut.groupBy("_key", "slice").agg(F.max_by("fact", "fact.t").alias("fact"))
-    across = Window.partitionBy("_key").orderBy("slice").rowsBetween(*newer)
-    carried = last.select("_key", "slice", nearest.over(across).alias("far"))
+    carried = carry_last(last, ["_key"], "slice", "fact", "far").drop("fact")
     return local.join(carried, ["_key", "slice"]).select("_key", "t", F.coalesce("near", "far").alias("found"))
 
 
