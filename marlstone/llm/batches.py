@@ -10,15 +10,13 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 CHUNK_POINTS = 2_000_000
 SHINGLE_WORDS = 5
+SHORT = 32
 _BASE = 0x9E3779B97F4A7C15
-_PRIME = np.uint64((1 << 61) - 1)
-#: Where the polynomials of ranges are taken; drawn once.
-_POINT = 0x1B873593CC9E2D51
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
-_powers: dict[str, np.ndarray] = {}
 
 
 class Texts(NamedTuple):
@@ -72,41 +70,6 @@ def mix(values: np.ndarray) -> np.ndarray:
     return v
 
 
-def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products modulo ``_PRIME`` of numbers below it, in halves of 31 and 30 bits."""
-    low, high = np.uint64((1 << 31) - 1), np.uint64(31)
-    b_low, b_high = b & low, b >> high
-    if not len(a) or int(a.max()) <= int(low):
-        return _reduced(_shifted(a * b_high) + a * b_low)
-    a_low, a_high = a & low, a >> high
-    middle = a_high * b_low + a_low * b_high
-    return _reduced(((a_high * b_high) << np.uint64(1)) + _shifted(middle) + a_low * b_low)
-
-
-def _shifted(values: np.ndarray) -> np.ndarray:
-    """``values << 31`` modulo ``_PRIME``, for values below 2**62; the result is below 2**62."""
-    return (values >> np.uint64(30)) + ((values & np.uint64((1 << 30) - 1)) << np.uint64(31))
-
-
-def _reduced(values: np.ndarray) -> np.ndarray:
-    folded = (values & _PRIME) + (values >> np.uint64(61))
-    # Below the prime, the difference wraps round to a large number.
-    return np.minimum(folded, folded - _PRIME)
-
-
-def _power(name: str, base: int, size: int) -> np.ndarray:
-    known = _powers.get(name)
-    if known is None or len(known) < size:
-        size = max(size, CHUNK_POINTS + 1)
-        known = np.array([1], "u8")
-        while len(known) < size:
-            step = np.array([pow(base, len(known), int(_PRIME))], "u8")
-            known = np.concatenate([known, times(known[: size - len(known)], step)])
-        if size <= 4 * CHUNK_POINTS:
-            _powers[name] = known
-    return known
-
-
 class HashIndex:
     """Distinct 64-bit keys, numbered in the order they were added; lookups of many keys are a few array steps."""
 
@@ -164,28 +127,35 @@ class HashIndex:
 def range_hashes(marks: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the marks in each range ``[first, last)``; it depends on nothing else.
 
-    The marks are the coefficients of a polynomial over the numbers modulo a prime of 61 bits, taken at a fixed point. Two different ranges of
-    up to ``n`` marks agree at no more than ``n`` of the 2**61 points, however regular they are.
+    Ranges of up to ``SHORT`` marks take in one mark after the other, all ranges together, each step scattering what was there before, so that
+    no regular text cancels out; longer ones go through XXH3 one by one.
     """
-    size = len(marks) + 1
-    terms = times(_reduced(marks), _power("up", _POINT, size)[: size - 1])
-    # Halves are added up apart, so that sums of 2**32 marks stay within 64 bits.
-    low, high = np.zeros(size, "u8"), np.zeros(size, "u8")
-    np.cumsum(terms & np.uint64((1 << 31) - 1), out=low[1:])
-    np.cumsum(terms >> np.uint64(31), out=high[1:])
-    total = _reduced(_shifted(high[last] - high[first]) + _reduced(low[last] - low[first]))
-    down = _power("down", pow(_POINT, -1, int(_PRIME)), size)
-    return mix(times(total, down[first]))
-
-
-def mark_points(points: np.ndarray) -> np.ndarray:
-    """A number from 1 on for each code point."""
-    return points.astype("u8") + np.uint64(1)
+    size = last - first
+    out = np.zeros(len(size), "u8")
+    # The longest come first, so that those that still take in marks are the first ones of the arrays.
+    order = np.argsort(SHORT + 1 - np.minimum(size, SHORT + 1).astype("u1"), kind="stable")
+    n_long = int((size > SHORT).sum())
+    if n_long:
+        marks = np.ascontiguousarray(marks)
+        view = memoryview(marks)
+        spans = zip(first[order[:n_long]].tolist(), last[order[:n_long]].tolist(), strict=True)
+        out[order[:n_long]] = np.fromiter((xxh3_64_intdigest(view[a:b]) for a, b in spans), "u8", n_long)
+    order = order[n_long:]
+    begin, length = first[order], size[order]
+    state = mix(length.astype("u8") + np.uint64(_BASE))
+    going = len(length) - np.cumsum(np.bincount(length, minlength=SHORT + 1))
+    for k in range(int(length[0]) if len(length) else 0):
+        some = state[: going[k]]
+        some ^= marks[begin[: going[k]] + k]
+        some *= np.uint64(_BASE)
+        some ^= some >> np.uint64(29)
+    out[order] = mix(state)
+    return out
 
 
 def span_hashes(points: np.ndarray, spans: Spans) -> np.ndarray:
     """A 64-bit hash of the points of each span."""
-    return range_hashes(mark_points(points), spans.first, spans.last)
+    return range_hashes(points, spans.first, spans.last)
 
 
 def is_space(points: np.ndarray) -> np.ndarray:

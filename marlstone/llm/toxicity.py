@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.batches import HashIndex, Texts, chunks, flatten, in_text, mark_points, range_hashes, text_of
+from marlstone.llm.batches import HashIndex, Texts, chunks, flatten, in_text, range_hashes, text_of
 from marlstone.llm.gam import labelled_sample
 from marlstone.llm.pieces import LETTER, kinds_of
 from marlstone.llm.shapes import with_measures
@@ -84,7 +84,7 @@ class Words:
         self.text = text_of(Texts(self.points, flat.starts), self.first)
         stops = np.isin(self.points, np.array([ord(c) for c in CLAUSE_ENDS], "u4")) | edge[:-1]
         self.clause = np.cumsum(stops)[self.first] if len(letters) else self.first
-        self.marks = mark_points(self.points)
+        self.marks = self.points
 
     def beginnings(self, size: int) -> np.ndarray:
         """Hashes of the first ``size`` letters of every word; of shorter words, 0."""
@@ -105,7 +105,7 @@ def _threats() -> HashIndex:
     """The threats; besides insults, they make a clause worth reading."""
     names = sorted(THREATS)
     flat = flatten(names)
-    return HashIndex(range_hashes(mark_points(flat.points), flat.starts[:-1], flat.starts[1:]))
+    return HashIndex(range_hashes(flat.points, flat.starts[:-1], flat.starts[1:]))
 
 
 def read_clause(symbols: list[tuple[str, float]]) -> dict[str, float]:
@@ -146,7 +146,7 @@ class Grammar:
         self.stems = stems
         names = sorted(stems)
         flat = flatten(names)
-        self._index = HashIndex(range_hashes(mark_points(flat.points), flat.starts[:-1], flat.starts[1:]))
+        self._index = HashIndex(range_hashes(flat.points, flat.starts[:-1], flat.starts[1:]))
         self._times = np.array([stems[n][0] for n in names] + [0])
         self._weights = np.array([stems[n][1] for n in names] + [0.0])
         self._sizes = sorted({len(n) for n in names})
