@@ -36,8 +36,8 @@ from marlstone.llm.batches import Spans, Texts, chunks, flatten, text_of
 from marlstone.llm.bpe import Encoder, library_encoder
 from marlstone.llm.storage import keep, map_arrow
 
-CHUNK_POINTS = 500_000
-PRODUCT_CELLS = 4_000_000
+CHUNK_POINTS = 250_000
+PRODUCT_CELLS = 1_000_000
 KINDS = ("overlap", "end", "group")
 #: The character that stands for a blank in word pieces.
 BLANK = "▁"
