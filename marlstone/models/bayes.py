@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import join_on, words
+from marlstone.functions.joins import join_split
 from marlstone.operators.text import bag_of_words
 
 MAX_CLASSES = 200
@@ -61,10 +62,10 @@ def score_bayes(df: DataFrame, model: BayesModel, key: str, text: str) -> DataFr
     """Rows (key, log_0, log_1, ..., pred): log prior plus log likelihoods of the known words.
 
     Words not seen in training are passed over; ties go to the first class. With two classes ``log_odds`` is
-    the second minus the first.
+    the second minus the first. Words of very many texts meet their likelihoods where the rows lie.
     """
     counts = bag_of_words(df, key, text)
-    known = counts.join(model.words, "term")
+    known = join_split(counts, model.words, "term")
     sums = known.groupBy(key).agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in model.columns])
     joined = join_on(df.select(key), sums, [key], "left")
     logs = [

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import ngrams
+from marlstone.functions.joins import join_split
 
 
 def bag_of_words(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
@@ -21,8 +22,8 @@ def bag_of_words(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
 def tfidf(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     """Rows (key, term, tf, df, tfidf) with tf * ln((N + 1) / (df + 1)); N counts all texts.
 
-    Document frequencies are counted with partial sums per task. The join on the term has one row per
-    (text, term) on one side; adaptive execution splits the partitions of very common terms.
+    Document frequencies are counted with partial sums per task. The join on the term has one row per (text, term) on one side, so a word
+    of nearly all texts would be one huge task; the frequencies tell which terms these are, and theirs go to the rows.
     """
     counts = bag_of_words(df, key, text, n)
     # Summing min(tf, 1) instead of counting rows keeps both uses of the counts alike, so that Spark
@@ -30,4 +31,5 @@ def tfidf(df: DataFrame, key: str, text: str, n: int = 1) -> DataFrame:
     frequency = counts.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"))
     texts = df.select(key).distinct().count()
     weight = F.col("tf") * F.log((F.lit(texts) + 1.0) / (F.col("df") + 1.0))
-    return counts.join(frequency, "term").select(key, "term", "tf", "df", weight.alias("tfidf"))
+    weighted = join_split(counts, frequency, "term", frequency.select("term", F.col("df").alias("n")))
+    return weighted.select(key, "term", "tf", "df", weight.alias("tfidf"))

@@ -12,6 +12,7 @@ from marlstone.functions.columns import rounded
 from marlstone.models.bayes import fit_bayes, score_bayes
 from marlstone.models.linear import coefficients, fit_line, fit_linear, fit_logistic
 from marlstone.models.neighbours import approximate_neighbours, neighbour_recall, pruned_neighbours
+from marlstone.models.outside import save_layers, score_outside
 from marlstone.models.scoring import batch_score, cross_validate
 from marlstone.models.trees import best_split, fit_tree
 from marlstone.models.vectors import apply_kmeans, assign_nearest, fit_centroids, fit_kmeans, kmeans_step, nearest_neighbours, pca
@@ -269,6 +270,24 @@ def batch_score_documents(spark, folder):
     return rounded(batch_score(documents(spark, folder), text_model(spark, folder), ["doc_id"]))
 
 
+@query("""
+with m as (
+  select avg(l_quantity) as mq, stddev_samp(l_quantity) as sq, avg(l_extendedprice) as mp, stddev_samp(l_extendedprice) as sp from lineitem)
+select l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+       round(1 / (1 + exp(-(0.8 * greatest((l_quantity - mq) / sq, 0) - 0.5 * greatest((l_extendedprice - mp) / sp, 0) + 0.1))), 6) as score
+from lineitem, m
+""")
+def outside_scores_lineitem(spark, folder):
+    """A small network whose first layer scales by the table's moments, written to a file and applied by ``predict_batch_udf``."""
+    features = ["l_quantity", "l_extendedprice"]
+    lines = read_table(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", *features])
+    told = lines.agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.avg, F.stddev_samp) for c in features]).first()
+    means, spreads = [told[f"avg_{c}"] for c in features], [told[f"stddev_samp_{c}"] for c in features]
+    first = [[1 / spreads[0], 0.0], [0.0, 1 / spreads[1]]]
+    layers = [(first, [-m / s for m, s in zip(means, spreads)], "relu"), ([[0.8], [-0.5]], [0.1], "sigmoid")]
+    return rounded(score_outside(lines, save_layers(spark, layers), features, ["l_orderkey", "l_linenumber", *features]), 6, ["score"])
+
+
 @query()
 def cross_validate_documents(spark, folder):
     """Mean area under the ROC curve per penalty, over folds of the labelled documents."""

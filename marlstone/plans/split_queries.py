@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from marlstone.operators.leakage import leakage_report, leaked_rows
 from marlstone.operators.splits import class_weights, downsample, hash_split, kfold, shared_entities, time_split
 from marlstone.plans.registry import query
 from marlstone.functions.columns import rounded
@@ -66,3 +67,38 @@ where {NUMBER.format(key='doc_id')} < case quality when 1 then 0.25 * 268435456
 def downsample_labels(spark, folder):
     labels = read_table(spark, folder, "labels", ["doc_id", "quality"])
     return downsample(labels, "doc_id", "quality", {1: 0.25}).select("doc_id", F.col("quality"))
+
+
+VALUES_SQL = f"""
+d as (
+  select doc_id, trim(regexp_replace(lower(text), '[\\x20\\x09-\\x0D]+', ' ', 'g')) as v,
+         case when {NUMBER.format(key='doc_id')} % 10 < 8 then 'train' else 'test' end as part
+  from documents),
+t as (select distinct v from d where part = 'train')"""
+
+
+def split_documents(spark, folder):
+    docs = hash_split(read_table(spark, folder, "documents", ["doc_id", "text"]), "doc_id", {"train": 8, "test": 2})
+    return docs.where("part = 'train'").drop("part"), docs.where("part = 'test'").drop("part")
+
+
+@query(f"""
+with {VALUES_SQL},
+s as (select v, count(*) as n from d where part = 'test' and v is not null group by v)
+select coalesce(sum(n), 0)::bigint as test_rows, coalesce(sum(n) filter (where v in (select v from t)), 0)::bigint as test_rows_seen,
+       count(*) as test_values, count(*) filter (where v in (select v from t)) as test_values_seen
+from s
+""")
+def leakage_report_documents(spark, folder):
+    """How many of the test documents' texts the train part holds too, apart from case and white space."""
+    train, test = split_documents(spark, folder)
+    return leakage_report(train, test, ["text"])
+
+
+@query(f"""
+with {VALUES_SQL}
+select doc_id from d where part = 'test' and v in (select v from t)
+""")
+def leaked_documents(spark, folder):
+    train, test = split_documents(spark, folder)
+    return leaked_rows(train, test, ["text"]).select("doc_id")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from marlstone.operators.history import asof, lags, rolling, sessions
 from marlstone.operators.scans import carry_last, carry_sum
 
-PARTS = 16
-
+from .conftest import PARTS, largest_reads
 
 @pytest.fixture(scope="module")
 def cells():
@@ -35,42 +34,6 @@ def test_scans_equal_loops(spark, cells, levels, fan):
         assert r.before == sum(v or 0 for k, p, v in cells if k == r.k and p < r.p)
 
 
-@pytest.fixture
-def many_tasks(spark):
-    names = {"spark.sql.shuffle.partitions": str(PARTS), "spark.sql.adaptive.enabled": "false"}
-    before = {n: spark.conf.get(n) for n in names}
-    for n, v in names.items():
-        spark.conf.set(n, v)
-    yield
-    for n, v in before.items():
-        spark.conf.set(n, v)
-
-
-def largest_reads(spark, run):
-    """Rows read by the largest shuffle task of the jobs that ``run`` starts, and all rows that it gives back."""
-    context = spark.sparkContext
-    store = context._jsc.sc().statusStore()
-    known = {s.stageId() for s in _list(context, store.stageList(None, False, False, _doubles(context), None))}
-    rows = run()
-    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    largest = 0
-    for stage in _list(context, store.stageList(None, False, False, _doubles(context), None)):
-        if stage.stageId() not in known:
-            for task in _list(context, store.taskList(stage.stageId(), stage.attemptId(), 10_000)):
-                told = task.taskMetrics()
-                if told.isDefined():
-                    largest = max(largest, told.get().shuffleReadMetrics().recordsRead())
-    return largest, rows
-
-
-def _list(context, found):
-    return list(context._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found))
-
-
-def _doubles(context):
-    return context._gateway.new_array(context._jvm.double, 0)
-
-
 @pytest.fixture(scope="module")
 def busy(spark):
     """24,000 events; one key holds half of them."""
