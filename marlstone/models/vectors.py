@@ -40,6 +40,50 @@ def fit_centroids(train: DataFrame, vector: str, label: str) -> list[tuple[objec
     return rows
 
 
+def fit_centroid_table(train: DataFrame, vector: str, label: str) -> DataFrame:
+    """Mean vector per label as a table ``label, mean``, for any number of labels; rows without a label or with a hole in the vector are left out."""
+    known = train.where(F.col(label).isNotNull() & whole_vector(vector))
+    means = known.groupBy(label).agg(Summarizer.mean(array_to_vector(vector)).alias("mean"))
+    return means.select(F.col(label).alias("label"), vector_to_array("mean").alias("mean"))
+
+
+def assign_nearest_table(
+    df: DataFrame, centroids: DataFrame, key: str, vector: str, out: str = "pred", block_numbers: int = 1_000_000, part_rows: int = 65_536
+) -> DataFrame:
+    """The rows with the label of the nearest centroid of a table (ties to the smaller label) and ``<out>_distance``, as ``assign_nearest``.
+
+    Centroids are cut into blocks of about ``block_numbers`` numbers and rows into parts; each pair of a part and a block is a group of its own,
+    which gives back one row per vector, so that neither side ever has to fit anywhere whole. ``key`` identifies the rows.
+    """
+    told = centroids.agg(F.count("label"), F.max(F.size("mean"))).first()
+    blocks = max(1, ceil(told[0] * (told[1] or 1) / block_numbers))
+    known = df.where(whole_vector(vector)).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    parts = max(1, ceil(known.count() / part_rows))
+    kind = centroids.schema["label"].dataType.simpleString()
+    hashed = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = known.withColumn("part", hashed("id", parts)).withColumn("block", every(blocks))
+    centres = centroids.withColumn("block", hashed("label", blocks)).withColumn("part", every(parts))
+
+    def nearest(points, means):
+        if points.empty or means.empty:
+            return pd.DataFrame({"id": points["id"][:0], "distance": np.zeros(0), "label": means["label"][:0].reset_index(drop=True)})
+        means = means.sort_values("label")
+        held = np.stack(points["v"].to_list())
+        place, best = np.zeros(len(held), "int64"), np.full(len(held), np.inf)
+        for i, mean in enumerate(means["mean"]):
+            gap = ((held - mean) ** 2).sum(axis=1)
+            closer = gap < best
+            place[closer], best[closer] = i, gap[closer]
+        return pd.DataFrame({"id": points["id"], "distance": best, "label": means["label"].to_numpy()[place]})
+
+    schema = f"id {known.schema['id'].dataType.simpleString()}, distance double, label {kind}"
+    found = rows.groupBy("part", "block").cogroup(centres.groupBy("part", "block")).applyInPandas(nearest, schema)
+    best = found.groupBy(F.col("id").alias("_id")).agg(F.min(F.struct("distance", "label")).alias("_best"))
+    joined = df.join(best, F.col(key) == F.col("_id"), "left")
+    return joined.select(*df.columns, F.col("_best.label").alias(out), F.col("_best.distance").alias(f"{out}_distance"))
+
+
 def assign_nearest(df: DataFrame, centroids: list[tuple[object, list[float]]], vector: str, out: str = "pred") -> DataFrame:
     """Add the label of the nearest centroid (ties to the first) and ``<out>_distance``, its squared distance.
 

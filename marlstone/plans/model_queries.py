@@ -15,7 +15,17 @@ from marlstone.models.neighbours import approximate_neighbours, neighbour_recall
 from marlstone.models.outside import save_layers, score_outside
 from marlstone.models.scoring import batch_score, cross_validate
 from marlstone.models.trees import best_split, fit_tree
-from marlstone.models.vectors import apply_kmeans, assign_nearest, fit_centroids, fit_kmeans, kmeans_step, nearest_neighbours, pca
+from marlstone.models.vectors import (
+    apply_kmeans,
+    assign_nearest,
+    assign_nearest_table,
+    fit_centroid_table,
+    fit_centroids,
+    fit_kmeans,
+    kmeans_step,
+    nearest_neighbours,
+    pca,
+)
 from marlstone.operators.splits import hash_split
 from marlstone.plans.evaluation_queries import CENTROIDS_SQL, NEIGHBOURS_SQL
 from marlstone.plans.registry import query
@@ -139,7 +149,26 @@ def naive_bayes_auc(spark, folder):
     return rounded(auc(scored, "quality", "log_odds", ["part"]), 4)
 
 
-@query()
+@query(f"""
+with {BAYES_SQL},
+f as (select quality::varchar as y, case when log_1 > log_0 then '1' else '0' end as pred from b where part = 'test'),
+k as (select y as class from f union select pred from f),
+c as (
+  select class, (select count(*) from f where y = class) as support, (select count(*) from f where pred = class) as predicted,
+         (select count(*) from f where y = class and pred = class) as hits from k),
+m as (
+  select class, case when predicted = 0 then 0 else hits / predicted end as precision,
+         case when support = 0 then 0 else hits / support end as recall, support, hits from c),
+r as (select *, case when precision + recall = 0 then 0 else 2 * precision * recall / (precision + recall) end as f1 from m)
+select 'class' as level, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from r
+union all
+select 'average', 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint from r
+union all
+select 'average', 'micro', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), sum(support)::bigint from r
+union all
+select 'average', 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from r
+""")
 def naive_bayes_report(spark, folder):
     scored = bayes_scores(spark, folder).where("part = 'test'")
     return rounded(class_report(scored, "quality", "pred"))
@@ -155,6 +184,20 @@ def nearest_centroid_embeddings(spark, folder):
     return rounded(assigned.drop("embedding"))
 
 
+@query(f"""
+with s as (select *, case when {NUMBER.format(key='vec_id')} % 10 < 8 then 'train' else 'test' end as part from embeddings),
+x as (select vec_id, label, part, generate_subscripts(embedding, 1) as d, unnest(embedding)::double as v from s),
+c as (select label as pred, d, avg(v) as m from x where part = 'train' group by label, d),
+g as (select vec_id, label, pred, sum((v - m) ** 2) as distance from x join c using (d) where part = 'test' group by vec_id, label, pred)
+select vec_id, label, arg_min(pred, (distance, pred)) as pred, round(min(distance), 6) as pred_distance from g group by vec_id, label
+""")
+def nearest_centroid_split_embeddings(spark, folder):
+    """Centroids of the train part as a table, nearest ones of the test part."""
+    vectors = hash_split(read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"]), "vec_id", {"train": 8, "test": 2})
+    centroids = fit_centroid_table(vectors.where("part = 'train'"), "embedding", "label")
+    return rounded(assign_nearest_table(vectors.where("part = 'test'"), centroids, "vec_id", "embedding").drop("embedding", "part"))
+
+
 @query(f"""
 with {CENTROIDS_SQL},
 t as (select pred as cluster, count(*) as n, sum(distance) as cost from a group by pred),

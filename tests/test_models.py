@@ -12,9 +12,19 @@ from marlstone.models.bayes import fit_bayes, score_bayes
 from marlstone.models.linear import apply_line, coefficients, fit_line, fit_linear, fit_logistic
 from marlstone.models.scoring import batch_score, cross_validate
 from marlstone.models.trees import best_split, fit_tree
-from marlstone.models.vectors import apply_kmeans, assign_nearest, fit_centroids, fit_kmeans, kmeans_step, nearest_neighbours, pca
+from marlstone.models.vectors import (
+    apply_kmeans,
+    assign_nearest,
+    assign_nearest_table,
+    fit_centroid_table,
+    fit_centroids,
+    fit_kmeans,
+    kmeans_step,
+    nearest_neighbours,
+    pca,
+)
 
-from .conftest import close
+from .conftest import close, rows_of
 
 
 def test_line_per_group(spark):
@@ -199,3 +209,21 @@ def test_scoring_keeps_rows_with_gaps(spark):
         assert len(found) == 43 and found[42].pred is not None
         assert all((found[i].pred is None) == (i in (40, 41)) for i in found)
         assert all(found[40][c] is None for c in found[40].asDict() if c != "id")
+
+
+@pytest.mark.parametrize("options", [{}, {"block_numbers": 10, "part_rows": 9}])
+def test_centroid_tables_give_the_same_as_lists(points, options):
+    _, df = points
+    table = fit_centroid_table(df, "v", "label")
+    found = assign_nearest_table(df, table, "id", "v", **options)
+    plain = assign_nearest(df, fit_centroids(df, "v", "label"), "v")
+    assert rows_of(found, "id", "pred") == rows_of(plain, "id", "pred")
+    assert all(close(a[1], b[1]) for a, b in zip(rows_of(found, "id", "pred_distance"), rows_of(plain, "id", "pred_distance")))
+
+
+def test_centroid_table_ties_missing_vectors_and_no_centroids(spark):
+    df = spark.createDataFrame([(1, [0.0], "x"), (2, None, "y"), (3, [9.0], "z")], "id int, v array<double>, block string")
+    table = spark.createDataFrame([("b", [1.0]), ("a", [-1.0]), ("c", [1.0])], "label string, mean array<double>")
+    got = {r["id"]: (r["pred"], r["pred_distance"], r["block"]) for r in assign_nearest_table(df, table, "id", "v", block_numbers=1).collect()}
+    assert got == {1: ("a", 1.0, "x"), 2: (None, None, "y"), 3: ("b", 64.0, "z")}
+    assert {r["pred"] for r in assign_nearest_table(df, table.limit(0), "id", "v").collect()} == {None}
