@@ -151,23 +151,23 @@ def naive_bayes_auc(spark, folder):
 
 @query(f"""
 with {BAYES_SQL},
-f as (select quality::varchar as y, case when log_1 > log_0 then '1' else '0' end as pred from b where part = 'test'),
-k as (select y as class from f union select pred from f),
-c as (
-  select class, (select count(*) from f where y = class) as support, (select count(*) from f where pred = class) as predicted,
-         (select count(*) from f where y = class and pred = class) as hits from k),
-m as (
+found as (select quality::varchar as y, case when log_1 > log_0 then '1' else '0' end as pred from b where part = 'test'),
+names as (select y as class from found union select pred from found),
+told as (
+  select class, (select count(*) from found where y = class) as support, (select count(*) from found where pred = class) as predicted,
+         (select count(*) from found where y = class and pred = class) as hits from names),
+shares as (
   select class, case when predicted = 0 then 0 else hits / predicted end as precision,
-         case when support = 0 then 0 else hits / support end as recall, support, hits from c),
-r as (select *, case when precision + recall = 0 then 0 else 2 * precision * recall / (precision + recall) end as f1 from m)
-select 'class' as level, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from r
+         case when support = 0 then 0 else hits / support end as recall, support, hits from told),
+marks as (select *, case when precision + recall = 0 then 0 else 2 * precision * recall / (precision + recall) end as f1 from shares)
+select 'class' as level, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from marks
 union all
-select 'average', 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint from r
+select 'average', 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint from marks
 union all
-select 'average', 'micro', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), sum(support)::bigint from r
+select 'average', 'micro', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), sum(support)::bigint from marks
 union all
 select 'average', 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-       round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from r
+       round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from marks
 """)
 def naive_bayes_report(spark, folder):
     scored = bayes_scores(spark, folder).where("part = 'test'")
