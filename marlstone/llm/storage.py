@@ -40,7 +40,7 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     with tidy(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept.kept_at = path
     return kept
