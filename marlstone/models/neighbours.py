@@ -31,7 +31,9 @@ BLOCK_ROWS = 16_384
 QUERY_ROWS = 4_096
 #: Bits of the projection index, and of the bits with the smallest margins those that probes may flip.
 MOST_BITS, FLIPPED_BITS = 20, 12
-#: Rows that a bucket is meant to hold.
+#: Buckets that a query looks into at most; where these hold too few of the nearest, buckets are made larger.
+MOST_PROBES = 256
+#: Rows that a bucket is meant to hold, where that takes no more probes.
 BUCKET_ROWS = 16
 #: Angles are compared with this much to spare (radians), far above the rounding of a dot product near 1.
 SPARE = 1e-6
@@ -58,6 +60,12 @@ def _in_blocks(rows: DataFrame, blocks_of) -> DataFrame:
     return rows.mapInPandas(run, f"id bigint, v {rows.schema['v'].dataType.simpleString()}, block bigint")
 
 
+def _sent(asks: DataFrame, blocks_of) -> DataFrame:
+    """Rows ``id, v, block``, once per block of the lists ``blocks`` that ``blocks_of`` adds; Spark copies the vectors, so that no Python worker holds copies."""
+    kind = asks.schema["v"].dataType.simpleString()
+    return asks.mapInPandas(blocks_of, f"id bigint, v {kind}, blocks array<bigint>").select("id", "v", F.explode("blocks").alias("block"))
+
+
 def meet(asks: DataFrame, base: DataFrame, k: int, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The k best rows per query (``query_id, base_id, similarity``) for ``id, v, block`` rows that meet in their blocks.
 
@@ -128,7 +136,8 @@ def fit_projections(
     """An index with as many probes as it takes to find the share ``recall`` of the k nearest within the sample.
 
     In the whole table the k nearest are nearer than in the sample, so more of them share a bucket there. How much of the table
-    the probes cover depends on the vectors: a few hundredths where they lie in groups, most of it where they have no structure.
+    the probes cover depends on the vectors: a few hundredths where they lie in groups, most of it where they have no structure. A query
+    has at most ``MOST_PROBES`` of them, so what is sent grows with the queries; where the nearest lie in more buckets, there are fewer and larger ones.
     """
     rows = _plain(base, key, vector)
     count, points = rows.count(), sample_points(rows, sample_rows)
@@ -139,21 +148,25 @@ def fit_projections(
     if bits <= dims:
         directions = np.linalg.qr(directions.T)[0].T
     cuts = np.median(points @ directions.T, axis=0) if len(points) else np.zeros(bits)
-    index = ProjectionIndex(directions, cuts, 1, 0.0)
     if len(points) <= k:
         return ProjectionIndex(directions, cuts, 1 << min(bits, FLIPPED_BITS), 1.0)
     asked = points[:256]
     similarity = asked @ points.T
     similarity[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
     nearest = np.argsort(-similarity, axis=1, kind="stable")[:, :k]
-    buckets = index.buckets(points)
-    probed = index.probed(asked, 1 << min(bits, FLIPPED_BITS))
-    # At which probe is each neighbour's bucket looked into?
-    at = np.array([[np.flatnonzero(row == b)[0] if (row == b).any() else probed.shape[1] for b in buckets[near]] for row, near in zip(probed, nearest)])
-    share = np.array([(at < p).mean() for p in range(1, probed.shape[1] + 1)])
-    enough = np.flatnonzero(share >= recall)
-    probes = int(enough[0]) + 1 if len(enough) else probed.shape[1]
-    return ProjectionIndex(directions, cuts, probes, float(share[probes - 1]))
+    # Fewer bits where more would need too many probes; few enough for looking everywhere always do.
+    while True:
+        index = ProjectionIndex(directions[:bits], cuts[:bits], 1, 0.0)
+        buckets = index.buckets(points)
+        probed = index.probed(asked, 1 << min(bits, FLIPPED_BITS))
+        # At which probe is each neighbour's bucket looked into?
+        at = np.array([[np.flatnonzero(row == b)[0] if (row == b).any() else probed.shape[1] for b in buckets[near]] for row, near in zip(probed, nearest)])
+        share = np.array([(at < p).mean() for p in range(1, min(probed.shape[1], MOST_PROBES) + 1)])
+        enough = np.flatnonzero(share >= recall)
+        if len(enough) or 1 << bits <= MOST_PROBES:
+            probes = int(enough[0]) + 1 if len(enough) else len(share)
+            return ProjectionIndex(index.directions, index.cuts, probes, float(share[probes - 1]))
+        bits -= 1
 
 
 def approximate_neighbours(
@@ -168,12 +181,9 @@ def approximate_neighbours(
         for batch in batches:
             for low in range(0, len(batch), 256):
                 some = batch.iloc[low : low + 256]
-                blocks = index.probed(_unit(some["v"]))
-                again = some.loc[some.index.repeat(blocks.shape[1])]
-                yield again.assign(block=blocks.reshape(-1))
+                yield some.assign(blocks=list(index.probed(_unit(some["v"]))))
 
-    asks = asks.mapInPandas(probe, f"id bigint, v {asks.schema['v'].dataType.simpleString()}, block bigint")
-    return _ranked(meet(asks, rows, k, **limits), k)
+    return _ranked(meet(_sent(asks, probe), rows, k, **limits), k)
 
 
 def neighbour_recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -155,3 +155,16 @@ def test_empty_and_tiny_tables(spark):
         assert search(none, one, "id", "v", 3).collect() == []
         two = frame(spark, [(1, [1.0, 2.0]), (2, [2.0, 4.0])])
         assert rows_of(search(two, two, "id", "v", 3)) == [(1, 1, 2, 1.0), (2, 1, 1, 1.0)]
+
+
+def loose(n, dims=16, seed=5):
+    chance = np.random.default_rng(seed)
+    return [(i, [float(x) for x in v]) for i, v in enumerate(chance.standard_normal((n, dims)))]
+
+
+def test_vectors_without_structure_need_no_more_probes_than_stated(spark):
+    df = frame(spark, loose(2000))
+    index = fit_projections(df, "id", "v", 10, bucket_rows=1)
+    assert index.probes <= neighbours.MOST_PROBES and index.sample_recall >= 0.95
+    found = approximate_neighbours(df.where("id % 50 = 0"), df, "id", "v", 10, index)
+    assert neighbour_recall(found, nearest_neighbours(df.where("id % 50 = 0"), df, "id", "v", 10)).first()["recall"] >= 0.9
