@@ -294,9 +294,10 @@ def _visits(asks: DataFrame, index: AngleIndex, wanted) -> DataFrame:
             for low in range(0, len(batch), 1024):
                 some = batch.iloc[low : low + 1024]
                 row, block = np.nonzero(wanted(_unit(some["v"]), some))
-                yield some[["id", "v"]].iloc[row].assign(block=index.blocks[block])
+                ends = np.searchsorted(row, np.arange(1, len(some)))
+                yield some[["id", "v"]].assign(blocks=np.split(index.blocks[block], ends))
 
-    return asks.mapInPandas(run, f"id bigint, v {asks.schema['v'].dataType.simpleString()}, block bigint")
+    return _sent(asks, run)
 
 
 def pruned_visits(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, index: AngleIndex, **limits: int) -> tuple[DataFrame, DataFrame]:

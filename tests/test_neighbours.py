@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from marlstone.models import neighbours
@@ -168,3 +169,27 @@ def test_vectors_without_structure_need_no_more_probes_than_stated(spark):
     assert index.probes <= neighbours.MOST_PROBES and index.sample_recall >= 0.95
     found = approximate_neighbours(df.where("id % 50 = 0"), df, "id", "v", 10, index)
     assert neighbour_recall(found, nearest_neighbours(df.where("id % 50 = 0"), df, "id", "v", 10)).first()["recall"] >= 0.9
+
+
+class _Asks:
+    """Stands for a table of queries; keeps the function that its rows would go through."""
+
+    schema = {"v": type("Field", (), {"dataType": type("Kind", (), {"simpleString": lambda self: "array<double>"})()})()}
+
+    def mapInPandas(self, run, schema):
+        self.run = run
+        return self
+
+    def select(self, *columns):
+        return self
+
+
+def test_copies_of_queries_are_never_made_in_python():
+    points = _unit(np.random.default_rng(7).standard_normal((1024, 64)))
+    none = np.zeros(256)
+    index = neighbours.AngleIndex(points[:64], np.zeros((64, 3)), np.arange(256), none, none + 4, none.astype(int))
+    asks = _Asks()
+    neighbours._visits(asks, index, lambda p, _: index.bounds(p) >= -1)
+    batch = pd.DataFrame({"id": np.arange(1024), "v": list(points)})
+    given = list(asks.run(iter([batch])))
+    assert sum(len(g) for g in given) == 1024 and all(len(b) == 256 for g in given for b in g["blocks"])
