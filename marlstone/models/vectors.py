@@ -21,6 +21,8 @@ from marlstone.functions.columns import whole_vector
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_STATE_NUMBERS = 20_000_000
+#: Similarities that a task holds at a time.
+MATRIX_NUMBERS = 1 << 20
 
 
 def fit_centroids(train: DataFrame, vector: str, label: str) -> list[tuple[object, list[float]]]:
@@ -170,37 +172,75 @@ def _unit(vectors) -> np.ndarray:
     return np.divide(points, length, out=np.zeros_like(points), where=length > 0)
 
 
-def _best(query_ids, query_points, base_ids, base_points, k, chunk=1024):
-    """The k best base rows per query; ties to the smaller id.
+def _chunks(queries: int, rows: int):
+    """Slices of the queries that meet ``rows`` rows in at most ``MATRIX_NUMBERS`` numbers, or one query at a time."""
+    step = max(1, MATRIX_NUMBERS // max(rows, 1))
+    return (slice(low, low + step) for low in range(0, queries, step))
 
-    Similarities are rounded to 12 places: matrix products of equal vectors can differ in the last bits, and
-    copies should tie.
+
+def _best_places(query_ids, query_points, base_ids, base_points, k):
+    """Row, place among the row's k best, base id and similarity of the best pairs of one matrix, in that order; ties to the smaller id.
+
+    Similarities are rounded to 12 places: matrix products of equal vectors can differ in the last bits, and copies should tie.
     """
+    similarity = query_points @ base_points.T
+    similarity[query_ids[:, None] == base_ids[None, :]] = -np.inf
+    width = min(k, similarity.shape[1])
+    if width < similarity.shape[1]:
+        floor = np.partition(similarity, -width, axis=1)[:, -width]
+    else:
+        floor = np.full(len(query_ids), -np.inf)
+    # Only what may round to the k-th best or more is rounded.
+    row, column = np.nonzero((similarity >= floor[:, None] - 2e-12) & (similarity > -np.inf))
+    value, base = np.round(similarity[row, column], 12), base_ids[column]
+    high = value >= np.round(floor, 12)[row]
+    row, value, base = row[high], value[high], base[high]
+    order = np.lexsort((base, -value, row))
+    row, value, base = row[order], value[order], base[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < width
+    return row[kept], place[kept], base[kept], value[kept]
+
+
+def _best(query_ids, query_points, base_ids, base_points, k):
+    """The k best base rows per query; ties to the smaller id. Matrices are bounded, whatever the number of rows."""
     found = []
-    for start in range(0, len(query_ids), chunk):
-        ids = query_ids[start : start + chunk]
-        similarity = np.round(query_points[start : start + chunk] @ base_points.T, 12)
-        similarity[ids[:, None] == base_ids[None, :]] = -np.inf
-        width = min(k, similarity.shape[1])
-        if width < similarity.shape[1]:
-            floor = np.partition(similarity, -width, axis=1)[:, -width]
-        else:
-            floor = np.full(len(ids), -np.inf)
-        for row, (query, limit) in enumerate(zip(ids, floor)):
-            places = np.flatnonzero((similarity[row] >= limit) & (similarity[row] > -np.inf))
-            values = similarity[row][places]
-            order = np.lexsort((base_ids[places], -values))[:width]
-            found.append((np.full(len(order), query), base_ids[places[order]], values[order]))
+    for part in _chunks(len(query_ids), len(base_ids)):
+        row, _, base, value = _best_places(query_ids[part], query_points[part], base_ids, base_points, k)
+        found.append((query_ids[part][row], base, value))
     if not found:
         return pd.DataFrame({"query_id": [], "base_id": [], "similarity": []}).astype({"query_id": "int64", "base_id": "int64"})
     columns = [np.concatenate(parts) for parts in zip(*found)]
     return pd.DataFrame(dict(zip(("query_id", "base_id", "similarity"), columns)))
 
 
-def _keep(found, k):
-    """The k best rows per query out of several parts, so that a task gives back k rows per query."""
-    ordered = found.sort_values(["query_id", "similarity", "base_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+class _Kept:
+    """The k best rows per query out of several batches, in two arrays that are changed in place."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.ids, self.values = np.zeros((queries, 0), "int64"), np.zeros((queries, 0))
+
+    def make_room(self, base_ids) -> None:
+        """For the rows of one more batch; ids with a null among them are doubles."""
+        more = min(self.k - self.ids.shape[1], len(base_ids))
+        if more:
+            self.ids = np.pad(self.ids, ((0, 0), (0, more)))
+            self.values = np.pad(self.values, ((0, 0), (0, more)), constant_values=-np.inf)
+        self.ids = self.ids.astype(np.result_type(self.ids, base_ids), copy=False)
+
+    def add(self, part: slice, row, place, base, value) -> None:
+        ids, values = np.zeros_like(self.ids[part]), np.full_like(self.values[part], -np.inf)
+        ids[row, place], values[row, place] = base, value
+        ids, values = np.hstack([self.ids[part], ids]), np.hstack([self.values[part], values])
+        order = np.lexsort((ids, -values), axis=1)[:, : self.ids.shape[1]]
+        self.ids[part], self.values[part] = np.take_along_axis(ids, order, axis=1), np.take_along_axis(values, order, axis=1)
+
+    def frames(self, query_ids, rows: int = 4_096):
+        for low in range(0, len(query_ids), rows):
+            values = self.values[low : low + rows]
+            row, place = np.nonzero(values > -np.inf)
+            yield pd.DataFrame({"query_id": query_ids[low + row], "base_id": self.ids[low + row, place], "similarity": values[row, place]})
 
 
 FOUND = "query_id bigint, base_id bigint, similarity double"
@@ -239,17 +279,19 @@ def _against_all(queries, base, k):
     held = queries.orderBy("id").toPandas()
     if held.empty:
         return queries.sparkSession.createDataFrame([], FOUND)
-    shared = queries.sparkSession.sparkContext.broadcast((held["id"].to_numpy(), _unit(held["v"])))
+    # In the numbers' own type, half as large as doubles for floats; lengths are taken chunk by chunk.
+    shared = queries.sparkSession.sparkContext.broadcast((held["id"].to_numpy(), np.stack(held["v"].to_list())))
 
     def search(batches):
         ids, points = shared.value
-        kept = None
+        kept = _Kept(len(ids), k)
         for batch in batches:
             if len(batch):
-                found = _best(ids, points, batch["id"].to_numpy(), _unit(batch["v"]), k)
-                kept = found if kept is None else _keep(pd.concat([kept, found]), k)
-        if kept is not None:
-            yield kept
+                base_ids, base_points = batch["id"].to_numpy(), _unit(batch["v"])
+                kept.make_room(base_ids)
+                for part in _chunks(len(ids), len(batch)):
+                    kept.add(part, *_best_places(ids[part], _unit(points[part]), base_ids, base_points, k))
+        yield from kept.frames(ids)
 
     return base.mapInPandas(search, FOUND)
 

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from marlstone.models.neighbours import (
     pruned_neighbours,
     pruned_visits,
 )
-from marlstone.models.vectors import _unit, nearest_neighbours
+from marlstone.models.vectors import _best, _unit, nearest_neighbours
 from tests.conftest import rows_of
 
 SCHEMA = "id long, v array<double>"
@@ -171,6 +172,21 @@ def test_vectors_without_structure_need_no_more_probes_than_stated(spark):
     assert neighbour_recall(found, nearest_neighbours(df.where("id % 50 = 0"), df, "id", "v", 10)).first()["recall"] >= 0.9
 
 
+def _largest_held(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_search_holds_few_similarities_at_a_time():
+    chance = np.random.default_rng(6)
+    asked, points = _unit(chance.standard_normal((1024, 8))), _unit(chance.standard_normal((16_384, 8)))
+    assert _largest_held(lambda: _best(np.arange(1024), asked, np.arange(16_384), points, 10)) < 64e6
+
+
 class _Asks:
     """Stands for a table of queries; keeps the function that its rows would go through."""
 
@@ -193,3 +209,27 @@ def test_copies_of_queries_are_never_made_in_python():
     batch = pd.DataFrame({"id": np.arange(1024), "v": list(points)})
     given = list(asks.run(iter([batch])))
     assert sum(len(g) for g in given) == 1024 and all(len(b) == 256 for g in given for b in g["blocks"])
+
+
+@pytest.mark.parametrize("broadcast_numbers", [10**9, 0])
+def test_search_over_many_batches_equals_brute_force(spark, broadcast_numbers):
+    rows = [(i, v) for i, v in clustered(60, dims=4)] + [(100 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(30)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = frame(spark, rows)
+        found = rows_of(nearest_neighbours(df, df, "id", "v", 9, broadcast_numbers=broadcast_numbers, block_rows=40), "query_id", "place", "base_id")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    points = _unit([v for _, v in rows])
+    wanted = []
+    for i, (query, _) in enumerate(rows):
+        near = sorted((-round(float(points[i] @ points[j]), 12), base) for j, (base, _) in enumerate(rows) if base != query)[:9]
+        wanted += [(query, place, base) for place, (_, base) in enumerate(near, 1)]
+    assert found == sorted(wanted, key=repr)
+
+
+def test_a_null_id_among_the_rows_is_still_found(spark):
+    df = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], SCHEMA)
+    found = nearest_neighbours(df.where("id = 1"), df, "id", "v", 2).orderBy("place").collect()
+    assert [r["base_id"] for r in found] == [None, 2]
