@@ -1,5 +1,6 @@
 import hashlib
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,23 @@ def test_whole_texts_are_counted(spark):
     df = spark.createDataFrame([(1, "word " * 30000 + "last")], "id int, t string")
     assert rows_of(bag_of_words(df, "id", "t"), "term", "tf") == [("last", 1), ("word", 30000)]
     assert bag_of_words(df, "id", "t", 2).where(F.col("term") == "word last").count() == 1
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_terms_are_counted_where_the_texts_lie(spark, n):
+    texts = [(i, "a b a b a c" + " d" * i) for i in range(5)] + [(5, None), (6, ""), (7, "a")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    found = bag_of_words(df, "id", "t", n)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    wanted = []
+    for i, text in texts:
+        words = (text or "").split()
+        grams = Counter(" ".join(words[j : j + n]) for j in range(len(words) - n + 1))
+        wanted += [(i, term, tf) for term, tf in grams.items()]
+    assert rows_of(found, "id", "term", "tf") == sorted(wanted, key=repr)
+
+
+def test_texts_that_share_a_key_are_counted_together(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "b a b"), (None, "c"), (None, "c d"), (2, "a a"), (3, None), (3, "a")], "id int, t string")
+    wanted = [(1, "a", 2), (1, "b", 3), (None, "c", 2), (None, "d", 1), (2, "a", 2), (3, "a", 1)]
+    assert rows_of(bag_of_words(df, "id", "t"), "id", "term", "tf") == sorted(wanted, key=repr)
