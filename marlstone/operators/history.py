@@ -26,6 +26,8 @@ WINDOW_ROWS = 2_000_000
 FEW_ROWS = 1_000
 # Rows that a sliding frame may span: Spark adds a sliding frame up anew for every row.
 FRAME_ROWS = 1_000
+# Rows that a task sums up and sorts, on average: tables with more of them than the shuffle partitions hold get more partitions.
+TASK_ROWS = 1_000_000
 
 
 def _timed(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -47,6 +49,16 @@ def _fair(df: DataFrame, rows: int, window_rows: int) -> int:
     return min(max(ceil(rows / partitions), FEW_ROWS), window_rows)
 
 
+def _placed(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, which has ``rows`` rows, dealt out by key so that a task's rows, and the memory it takes, do not grow with the table.
+
+    A count that is named is not made smaller at run time, where only the bytes of the shuffle would be looked at.
+    """
+    if rows <= TASK_ROWS:
+        return df.repartition(*keys)
+    return df.repartition(max(ceil(rows / TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def _load(df: DataFrame, key: str, ts: str, width: int = DAY) -> tuple[int, int, int]:
     """All rows with a time, those of the busiest key, and those of the busiest key within one slice; one pass."""
     slices = _timed(df, key, ts).groupBy("k", block_of("t", width)).agg(F.count(F.lit(1)).alias("n"))
@@ -96,7 +108,7 @@ def rolling(
     limit = _fair(df, every, window_rows)
     if rows <= frame_rows and most <= limit:
         # Placed by key, the rows are combined and run through the window without another shuffle.
-        points = combined(values.repartition(key))
+        points = combined(_placed(values, every, key))
         frame = Window.partitionBy(key).orderBy("t").rangeBetween(-span, -1)
         sums = points.select(
             key,
@@ -226,7 +238,7 @@ def lags(
     limit = _fair(df, every, window_rows)
     if most <= limit:
         # Placed by key, the rows are combined and run through the window without another shuffle.
-        placed = values.repartition(key).groupBy(key, "t").agg(chosen.alias("v")).select("*", *earlier(whole))
+        placed = _placed(values, every, key).groupBy(key, "t").agg(chosen.alias("v")).select("*", *earlier(whole))
     else:
         points = values.groupBy(key, "t").agg(chosen.alias("v"))
         width = _slice_width(df, key, ts, limit)

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone.operators import history
 from marlstone.operators.history import asof, lags, rolling, sessions
 from marlstone.operators.scans import carry_last, carry_sum
 
@@ -71,3 +72,17 @@ def test_the_spread_plan_gives_the_same_rows(spark, busy, name):
     keys = [r.k for r in alone.select("k").distinct().collect()]
     plain = lambda df: sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.where(F.col("k").isin(keys)).collect())
     assert plain(spread) == plain(alone)
+
+
+@pytest.mark.parametrize("feature", [lambda df: rolling(df, "k", "ts", "v", 86_400), lambda df: lags(df, "k", "ts", "v")])
+def test_a_task_gets_no_more_rows_where_the_table_grows(spark, monkeypatch, feature):
+    start = datetime(2024, 1, 1)
+    rows = [(i % 400, start + timedelta(seconds=i), float(i)) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double").persist()
+    df.count()
+    wanted = sorted(map(repr, feature(df).collect()))
+    monkeypatch.setattr(history, "TASK_ROWS", 500)
+    # Four shuffle partitions would read 3,000 rows each.
+    largest, found = largest_reads(spark, lambda: feature(df).collect())
+    df.unpersist()
+    assert sorted(map(repr, found)) == wanted and largest <= 2_000
