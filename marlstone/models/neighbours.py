@@ -4,6 +4,8 @@ Either index cuts the base into blocks. It is fitted on a bounded sample (at mos
 their id), but every row gets its block. Queries are sent to the blocks they need, and a block that is met by many
 or holds many rows is cut into parts, so that no task compares more than ``QUERY_ROWS`` queries with ``BLOCK_ROWS`` rows, whatever
 the data: a vector that fills a third of the table is one block of many parts. Pairs are matrix products; only the k best per query leave a task.
+The exact index leaves many blocks open, so its later visits are not copied block by block: blocks lie together in parts of many rows, and a
+query goes to each part once, with a bit for every block that is still open (``meet_open``).
 
 Vectors that are null or hold a null or NaN are left out; a vector of zeros has similarity 0 to all. Ids identify rows, ties go
 to the smaller id, and similarities are rounded to 12 places, all as in ``nearest_neighbours``.
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import whole_vector
-from marlstone.models.vectors import FOUND, _best, _unit
+from marlstone.models.vectors import FOUND, _best, _better, _chunks, _Kept, _unit
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -35,6 +37,10 @@ MOST_BITS, FLIPPED_BITS = 20, 12
 MOST_PROBES = 256
 #: Rows that a bucket is meant to hold, where that takes no more probes.
 BUCKET_ROWS = 16
+#: Numbers that the vectors of one side of a tile may have (32 MB as doubles), and rows of the base that are multiplied at a time.
+TILE_NUMBERS, STEP_ROWS = 1 << 22, 4_096
+#: Either side is cut into so many parts, if they have ``STEP_ROWS`` rows or more: enough tiles for many tasks, few enough copies.
+TILE_SIDES = 8
 #: Angles are compared with this much to spare (radians), far above the rounding of a dot product near 1.
 SPARE = 1e-6
 
@@ -300,20 +306,117 @@ def _visits(asks: DataFrame, index: AngleIndex, wanted) -> DataFrame:
     return _sent(asks, run)
 
 
+def _still_open(first: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """The queries ``id, v, least`` with the k-th best so far; queries that have fewer take every block."""
+    least = first.where(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("similarity").alias("least"))
+    return asks.join(least, "id", "left").select("id", "v", F.coalesce("least", F.lit(-2.0)).alias("least"))
+
+
+def _leaves_open(index: AngleIndex, k: int):
+    """Which blocks are left open for the points of a frame of ``_still_open``, without those looked into first."""
+
+    def still(points, frame):
+        return (index.bounds(points) >= frame["least"].to_numpy()[:, None] - 1e-12) & ~index.first(points, k)
+
+    return still
+
+
+def _first_found(asks: DataFrame, rows: DataFrame, k: int, index: AngleIndex, limits: dict) -> DataFrame:
+    """The k best of the blocks that each query looks into first."""
+    return _ranked(meet(_visits(asks, index, lambda points, _: index.first(points, k)), rows, k, **limits), k)
+
+
 def pruned_visits(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, index: AngleIndex, **limits: int) -> tuple[DataFrame, DataFrame]:
     """What the k best of the first blocks are, and the further ``id, v, block`` visits that they leave open."""
     asks = _plain(queries, key, vector)
     rows = _in_blocks(_plain(base, key, vector), lambda points: index.places(points)[0])
-    first = meet(_visits(asks, index, lambda points, _: index.first(points, k)), rows, k, **limits)
-    first = _ranked(first, k)
-    # The k-th best so far; queries that have fewer take every block.
-    least = first.where(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("similarity").alias("least"))
-    open_ = asks.join(least, "id", "left").select("id", "v", F.coalesce("least", F.lit(-2.0)).alias("least"))
+    first = _first_found(asks, rows, k, index, limits)
+    return first, _visits(_still_open(first, asks, k), index, _leaves_open(index, k))
 
-    def still(points, frame):
-        return (index.bounds(points) >= frame["least"].to_numpy()[:, None] - 1e-12) & ~index.first(points, k)
 
-    return first, _visits(open_, index, still)
+def tile_rows(count: int, numbers: int) -> int:
+    """Rows of a part of a table of ``count`` rows with so many numbers each."""
+    return max(1, min(TILE_NUMBERS // max(numbers, 1), max(STEP_ROWS, ceil(count / TILE_SIDES))))
+
+
+def block_parts(rows: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each block the first part that holds it and how many do: neighbouring blocks share a part of up to ``limit`` rows, larger ones have several of their own."""
+    first, several = np.zeros(len(rows), "int64"), np.ones(len(rows), "int64")
+    part, held = -1, limit
+    for i, n in enumerate(rows.tolist()):
+        if held + n > limit:
+            part, held = part + 1, 0
+        first[i], several[i] = part, max(1, ceil(n / limit))
+        part, held = part + int(several[i]) - 1, limit if several[i] > 1 else held + n
+    return first, several
+
+
+def meet_open(asks: DataFrame, base: DataFrame, k: int, index: AngleIndex, wanted, base_rows: int, ask_parts: int) -> DataFrame:
+    """The k best rows per query (``query_id, base_id, similarity``) of the blocks that ``wanted(points, frame)`` names, none below ``least``.
+
+    ``asks`` has ``id, v, least``, ``base`` has ``id, v, block``. A tile is a part of the base, whole blocks or a share of a large one, and a part of the
+    queries. Either side is copied once per part of the other, whatever the number of open blocks; queries that leave no block of a part
+    open are not sent there. Inside a tile only open blocks are met, and the k-th best found so far rises on the way.
+    """
+    first, several = block_parts(index.rows, base_rows)
+    parts = int((first + several).max()) if len(first) else 0
+    kind = asks.schema["v"].dataType.simpleString()
+
+    def send(batches):
+        for batch in batches:
+            for low in range(0, len(batch), 1024):
+                some = batch.iloc[low : low + 1024]
+                met = wanted(_unit(some["v"]), some)
+                to = np.zeros((len(some), parts), bool)
+                for block in range(len(first)):
+                    to[:, first[block] : first[block] + several[block]] |= met[:, block, None]
+                row, part = np.nonzero(to)
+                ends = np.searchsorted(row, np.arange(1, len(some)))
+                yield some.assign(blocks=[b.tobytes() for b in np.packbits(met, axis=1)], parts=np.split(part, ends))
+
+    sent = asks.mapInPandas(send, f"id bigint, v {kind}, least double, blocks binary, parts array<bigint>")
+    ask = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(ask_parts)).cast("int")
+    left = sent.select("id", "v", "least", "blocks", ask.alias("ask"), F.explode("parts").alias("part"))
+
+    def deal(batches):
+        for batch in batches:
+            batch = batch[np.isin(batch["block"], index.blocks)]
+            at = np.searchsorted(index.blocks, batch["block"].to_numpy())
+            yield batch.assign(block=at, part=first[at], several=several[at])
+
+    dealt = base.mapInPandas(deal, f"id bigint, v {base.schema['v'].dataType.simpleString()}, block bigint, part bigint, several bigint")
+    part = F.col("part") + F.pmod(F.xxhash64("id", F.lit(2)), F.col("several"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(ask_parts - 1))).alias("ask")
+    # New names, so that both sides may come from one table.
+    right = dealt.select("id", "v", "block", part.alias("part"), every).toDF("id", "v", "block", "part", "ask")
+
+    def search(queries, rows):
+        if queries.empty or rows.empty:
+            return pd.DataFrame({"query_id": [], "base_id": [], "similarity": []}).astype({"query_id": "int64", "base_id": "int64"})
+        # Vectors stay in the numbers' own type; lengths are taken chunk by chunk.
+        ids, points, least = queries["id"].to_numpy(), np.stack(queries["v"].to_list()), queries["least"].to_numpy().copy()
+        met = np.frombuffer(b"".join(queries["blocks"]), "u1").reshape(len(ids), -1)
+        order = np.argsort(rows["block"].to_numpy(), kind="stable")
+        base_ids, block = rows["id"].to_numpy()[order], rows["block"].to_numpy()[order]
+        vectors = rows["v"].to_numpy()
+        kept = _Kept(len(ids), k)
+        turns = np.flatnonzero(np.diff(block, prepend=-1, append=len(first)))
+        for begin, end in zip(turns[:-1].tolist(), turns[1:].tolist()):
+            asked = np.flatnonzero(met[:, block[begin] >> 3] & (128 >> (block[begin] & 7)))
+            for low in range(begin, end, STEP_ROWS):
+                some = slice(low, min(end, low + STEP_ROWS))
+                some_ids, some_points = base_ids[some], _unit(vectors[order[some]])
+                kept.make_room(some_ids)
+                for chunk in _chunks(len(asked), len(some_ids)):
+                    at = asked[chunk]
+                    row, place, found, value = _better(ids[at], _unit(points[at]), some_ids, some_points, k, least[at])
+                    hit, row = np.unique(row, return_inverse=True)
+                    kept.add(at[hit], row, place, found, value)
+                    if kept.ids.shape[1] == k:
+                        least[at[hit]] = np.maximum(least[at[hit]], kept.values[at[hit], k - 1])
+        return pd.concat(kept.frames(ids))
+
+    return left.groupBy("part", "ask").cogroup(right.groupBy("part", "ask")).applyInPandas(search, FOUND)
 
 
 def pruned_neighbours(
@@ -323,10 +426,15 @@ def pruned_neighbours(
 
     By the triangle inequality of angles, a block whose ring lies further from the query than the k-th best found so far holds nothing better.
     Each query first looks into its nearest blocks and then only into those that its bound leaves open. Where
-    vectors have no structure few blocks are skipped, and the plain search does less work.
+    vectors have no structure few blocks are skipped, and the plain search does less work. ``block_rows`` and ``query_rows`` bound the parts of either side.
     """
     index = index or fit_angles(base, key, vector)
-    first, more = pruned_visits(queries, base, key, vector, k, index, **limits)
+    asks = _plain(queries, key, vector)
     rows = _in_blocks(_plain(base, key, vector), lambda points: index.places(points)[0])
-    later = meet(more, rows, k, **limits)
+    dims, n_asks = index.centres.shape[1], asks.count()
+    base_rows = limits.get("block_rows") or tile_rows(int(index.rows.sum()), dims)
+    # A task holds the k best of its queries as well.
+    ask_rows = limits.get("query_rows") or tile_rows(n_asks, max(dims, 2 * k))
+    first = _first_found(asks, rows, k, index, {"block_rows": base_rows, "query_rows": ask_rows})
+    later = meet_open(_still_open(first, asks, k), rows, k, index, _leaves_open(index, k), base_rows, max(1, ceil(n_asks / ask_rows)))
     return _ranked(first.select("query_id", "base_id", "similarity").unionByName(later), k)

@@ -192,8 +192,21 @@ def _best_places(query_ids, query_points, base_ids, base_points, k):
         floor = np.full(len(query_ids), -np.inf)
     # Only what may round to the k-th best or more is rounded.
     row, column = np.nonzero((similarity >= floor[:, None] - 2e-12) & (similarity > -np.inf))
-    value, base = np.round(similarity[row, column], 12), base_ids[column]
-    high = value >= np.round(floor, 12)[row]
+    return _placed(row, base_ids[column], np.round(similarity[row, column], 12), np.round(floor, 12), width)
+
+
+def _better(query_ids, query_points, base_ids, base_points, k, least):
+    """As ``_best_places``, of those that are ``least`` (one for each query, rounded) or more."""
+    similarity = query_points @ base_points.T
+    row, column = np.divmod(np.flatnonzero(similarity >= least[:, None] - 2e-12), len(base_ids))
+    other = query_ids[row] != base_ids[column]
+    row, column = row[other], column[other]
+    return _placed(row, base_ids[column], np.round(similarity[row, column], 12), least, min(k, len(base_ids)))
+
+
+def _placed(row, base, value, floor, width):
+    """The ``width`` best per row of those that reach the row's floor, with their places."""
+    high = value >= floor[row]
     row, value, base = row[high], value[high], base[high]
     order = np.lexsort((base, -value, row))
     row, value, base = row[order], value[order], base[order]
@@ -229,7 +242,7 @@ class _Kept:
             self.values = np.pad(self.values, ((0, 0), (0, more)), constant_values=-np.inf)
         self.ids = self.ids.astype(np.result_type(self.ids, base_ids), copy=False)
 
-    def add(self, part: slice, row, place, base, value) -> None:
+    def add(self, part: slice | np.ndarray, row, place, base, value) -> None:
         ids, values = np.zeros_like(self.ids[part]), np.full_like(self.values[part], -np.inf)
         ids[row, place], values[row, place] = base, value
         ids, values = np.hstack([self.ids[part], ids]), np.hstack([self.values[part], values])

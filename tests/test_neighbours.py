@@ -18,7 +18,7 @@ from marlstone.models.neighbours import (
     pruned_visits,
 )
 from marlstone.models.vectors import _best, _unit, nearest_neighbours
-from tests.conftest import rows_of
+from tests.conftest import largest_reads, rows_of
 
 SCHEMA = "id long, v array<double>"
 
@@ -233,3 +233,35 @@ def test_a_null_id_among_the_rows_is_still_found(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], SCHEMA)
     found = nearest_neighbours(df.where("id = 1"), df, "id", "v", 2).orderBy("place").collect()
     assert [r["base_id"] for r in found] == [None, 2]
+
+
+def test_parts_hold_whole_blocks_or_shares_of_a_large_one():
+    first, several = neighbours.block_parts(np.array([3, 4, 3, 25, 2, 9, 10, 0]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 5, 6, 6]
+    assert several.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
+    assert [v.tolist() for v in neighbours.block_parts(np.zeros(0, "int64"), 10)] == [[], []]
+
+
+def test_open_blocks_do_not_make_copies_of_queries(spark):
+    """Vectors without structure leave most blocks open; what is shuffled must not grow with their number."""
+    df = spark.createDataFrame(loose(1500, 16), SCHEMA).repartition(3)
+    index = fit_angles(df, "id", "v")
+    _, visits = pruned_visits(df, df, "id", "v", 5, index)
+    assert visits.count() > 1500 * 60
+    largest, found = largest_reads(spark, lambda: rows_of(pruned_neighbours(df, df, "id", "v", 5, index)))
+    assert found == rows_of(nearest_neighbours(df, df, "id", "v", 5))
+    assert largest < 1500 * 10
+
+
+def test_repeated_ids_and_large_blocks_in_small_tiles(spark):
+    rows = odd_rows()[:220] + odd_rows()[:40] + [(i, v) for i, v in clustered(9, seed=4)]
+    df = frame(spark, rows)
+    found = pruned_neighbours(df, df, "id", "v", 4, fit_angles(df, "id", "v", centres=12, rings=3), block_rows=16, query_rows=50)
+    assert rows_of(found) == rows_of(nearest_neighbours(df, df, "id", "v", 4))
+
+
+def test_few_numbers_of_a_tile_stay_in_memory():
+    assert neighbours.tile_rows(10_000_000, 64) * 64 <= neighbours.TILE_NUMBERS
+    assert neighbours.tile_rows(51_282, 64) == math.ceil(51_282 / neighbours.TILE_SIDES)
+    assert neighbours.tile_rows(200, 64) == neighbours.STEP_ROWS
+    assert neighbours.tile_rows(100, neighbours.TILE_NUMBERS * 2) == 1
